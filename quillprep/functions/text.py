@@ -6,17 +6,20 @@ from pyspark.sql import Column, functions as F
 
 from quillprep.params import ChatFormat, template_parts
 
-# The code points that count as whitespace, as members of a character class
-# that reads the same in Java regex and RE2. Plain \s covers fewer in both.
-WS_NOT_SPACE = (
-    r"\t-\r\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
-WS = rf"[{WS_NOT_SPACE}\x20]"
-
-# Only runs that change: those with another member than the space, or longer than one.
-_RUN_TO_COLLAPSE = rf"[{WS_NOT_SPACE}]{WS}*|\x20{WS}+"
-_EDGES = rf"^{WS}+|{WS}+\z"
+# The code points that count as whitespace. Plain \s covers fewer.
+WS_LATIN = r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+WS_WIDE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WS_NOT_SPACE = WS_LATIN + WS_WIDE
+WS = rf"[\x20{WS_NOT_SPACE}]"
+
+# The same set for Java: listed characters are one table lookup, and the range in front of the
+# wide ones settles every other character with one test.
+_WS_FAST = rf"[\x20{WS_LATIN}[\x{{1680}}-\x{{3000}}&&[{WS_WIDE}]]]"
+
+# Only runs that change: those that start with another member than the space, or go on.
+_RUN_TO_COLLAPSE = rf"{_WS_FAST}(?:(?<!\x20){_WS_FAST}*|{_WS_FAST}+)"
+# Each inner run is tried once, at its start, and never backtracked into.
+_EDGES = rf"^{_WS_FAST}+|(?<!{_WS_FAST}){_WS_FAST}++\z"
 
 # A turn marker, a word, or one punctuation character.
 MARKER_PATTERN = r"<\|[a-z_]+\|>"

@@ -8,24 +8,29 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quillprep.functions.text import MARKER_PATTERN
 from quillprep.operators.vocabulary import RESERVED, UNK_ID, Lookup, broadcast_lookup
 
+IDS = T.ArrayType(T.IntegerType())
+
+
+def _like(lists: pa.Array, values: pa.Array) -> pa.Array:
+    """New values in the list shape of an array."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), values)
+
 
 def lookup_ids(tokens: Column, lookup: Lookup) -> Column:
     """Ids of a token array through a broadcast vocabulary: no shuffle, a batch at a time."""
-    shared = lookup.tokens
+    known = lookup.tokens
 
-    @F.arrow_udf("array<int>")
-    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = pa.array(shared.value, pa.string())
-        for lists in batches:
-            ids = pc.fill_null(pc.index_in(lists.flatten(), value_set=known), UNK_ID)
-            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), ids)
+    @F.arrow_udf(IDS)
+    def ids_of(lists: pa.Array) -> pa.Array:
+        ids = pc.index_in(lists.flatten(), value_set=known.value)
+        return _like(lists, pc.fill_null(ids, UNK_ID))
 
     return ids_of(tokens)
 
@@ -37,7 +42,7 @@ def join_ids(
 
     AQE splits the partitions of frequent tokens. Rows without tokens keep an empty array.
     """
-    empty = F.array().cast("array<int>")
+    empty = F.array().cast(IDS)
     pair = F.struct("_pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("token_id"))
     for source, target in columns.items():
         tokens = rows.select(*key, F.posexplode_outer(source).alias("_pos", "token"))
@@ -62,15 +67,11 @@ def encode(
 
 def decode_ids(ids: Column, lookup: Lookup) -> Column:
     """Ids to text: reserved tokens and turn markers dropped, one space between tokens."""
-    shared = lookup.tokens
+    known = lookup.tokens
 
-    @F.arrow_udf("array<string>")
-    def tokens_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = pa.array(shared.value, pa.string())
-        for lists in batches:
-            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-            ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), known.take(lists.flatten()))
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def tokens_of(lists: pa.Array) -> pa.Array:
+        return _like(lists, known.value.take(lists.flatten()))
 
     special = lambda t: t.rlike(f"^(?:{MARKER_PATTERN})$") | t.isin(*RESERVED)
     return F.array_join(F.filter(tokens_of(ids), lambda t: ~special(t)), " ")
@@ -79,7 +80,7 @@ def decode_ids(ids: Column, lookup: Lookup) -> Column:
 def custom_tokenizer(factory: Callable[[], Callable[[str], list[int]]]) -> Callable:
     """Column function from text to ids by the caller's tokenizer, built once per task."""
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf(IDS)
     def encode_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenize = factory()
         for texts in batches:

@@ -8,9 +8,12 @@ large a split is, and rows beyond the sample are filtered before anything is shu
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillprep.params import SEED
+from quillprep.session import cut_lineage
 
 # Rows wanted per hash range, and the most ranges per group.
 ROWS_PER_RANGE = 512
@@ -25,34 +28,27 @@ def order_hash(seed: int | Column, key: Column) -> Column:
     return F.md5(F.concat_ws(":", seed_col, key.cast("string")))
 
 
-def _with_range(keyed: DataFrame, group: str, sizes: dict) -> DataFrame:
-    """Add ``_range``, rising with the hash: fine inside the sample, doubling beyond it."""
-    # one row per requested group: bounded by len(sizes)
-    totals = keyed.groupBy(group).agg(F.count("*").alias("_total"))
-    want = F.lit(None).cast("bigint")
-    for name, n in sizes.items():
-        if n is not None:
-            want = F.when(F.col(group) == F.lit(name), F.lit(n)).otherwise(want)
-    kept = F.least(F.coalesce(want, F.col("_total")), F.col("_total"))
-    per_range = F.greatest(F.lit(float(ROWS_PER_RANGE)), kept / F.lit(float(MAX_RANGES)))
-    totals = totals.select(
-        F.col(group),
-        (F.col("_total") / per_range).alias("_scale"),
-        F.greatest(F.lit(1.0), F.ceil(kept / per_range).cast("double")).alias("_fine"),
-    )
+def _by_group(group: str, values: dict, kind: str) -> Column:
+    """A literal per group; groups are few and named by the caller."""
+    column = F.lit(None).cast(kind)
+    for name, value in values.items():
+        column = F.when(F.col(group) == F.lit(name), F.lit(value).cast(kind)).otherwise(column)
+    return column
+
+
+def _range_number(group: str, totals: dict, kept: dict) -> Column:
+    """A number rising with ``_hash``: fine steps inside the sample, doubling beyond it."""
+    scale, fine = {}, {}
+    for name, total in totals.items():
+        rows = max(float(ROWS_PER_RANGE), kept[name] / MAX_RANGES)
+        scale[name] = total / rows
+        fine[name] = max(1, math.ceil(kept[name] / rows))
     digits = F.substring("_hash", 1, _HASH_DIGITS)
     fraction = F.conv(digits, 16, 10).cast("double") / F.lit(float(16**_HASH_DIGITS))
-    x = fraction * F.col("_scale")
-    return (
-        keyed.join(F.broadcast(totals), group)
-        .withColumn(
-            "_range",
-            F.when(x < F.col("_fine"), F.floor(x))
-            .otherwise(F.col("_fine") + F.floor(F.log2(x / F.col("_fine"))))
-            .cast("bigint"),
-        )
-        .drop("_scale", "_fine")
-    )
+    x = fraction * _by_group(group, scale, "double")
+    steps = _by_group(group, fine, "double")
+    doubling = steps + F.floor(F.log2(x / steps))
+    return F.when(x < steps, F.floor(x)).otherwise(doubling).cast("bigint")
 
 
 def assign_positions(
@@ -67,12 +63,20 @@ def assign_positions(
 
     A size of ``None``, or above the group's row count, keeps the whole group. Groups not named
     in ``sizes`` are left out. ``key`` must identify a row of its group (``duplicate_keys``).
-    """
-    members = F.col(group).isin(*sizes)
-    keyed = rows.filter(members).withColumn("_hash", order_hash(seed, F.col(key)))
-    ranged = _with_range(keyed, group, sizes)
 
-    counts = ranged.groupBy(group, "_range").agg(F.count("*").alias("_rows"))
+    Counts the groups, then the ranges, when called; both passes read the key columns alone.
+    """
+    keyed = rows.filter(F.col(group).isin(*sizes))
+    # one row per named group
+    totals = dict(keyed.groupBy(group).agg(F.count("*")).collect())
+    kept = {
+        name: total if sizes[name] is None else min(sizes[name], total)
+        for name, total in totals.items()
+    }
+    keyed = keyed.withColumn("_hash", order_hash(seed, F.col(key))).withColumn(
+        "_range", _range_number(group, totals, kept)
+    )
+    counts = cut_lineage(keyed.groupBy(group, "_range").agg(F.count("*").alias("_rows")))
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -80,32 +84,22 @@ def assign_positions(
     starts = counts.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     starts = starts.drop("_rows")
 
-    limited = {name: n for name, n in sizes.items() if n is not None}
-    size = F.lit(None).cast("bigint")
-    for name, n in limited.items():
-        size = F.when(F.col(group) == F.lit(name), F.lit(n)).otherwise(size)
-    if limited:
-        # one row per group: the last range the sample reaches into
-        last = (
-            starts.filter(size.isNull() | (F.col("_start") < size))
-            .groupBy(group)
-            .agg(F.max("_range").alias("_last"))
-        )
-        ranged = (
-            ranged.join(F.broadcast(last), group)
-            .filter(F.col("_range") <= F.col("_last"))
-            .drop("_last")
-        )
+    limits = {name: n for name, n in kept.items() if n < totals[name]}
+    if limits:
+        reached = starts.filter(F.col("_start") < _by_group(group, kept, "bigint"))
+        # one row per named group: the last range its sample reaches into
+        last = dict(reached.groupBy(group).agg(F.max("_range")).collect())
+        keyed = keyed.filter(F.col("_range") <= _by_group(group, last, "bigint"))
 
     within = Window.partitionBy(group, "_range").orderBy("_hash", key)
     placed = (
-        ranged.withColumn("_rank", F.row_number().over(within))
+        keyed.withColumn("_rank", F.row_number().over(within))
         .join(starts, [group, "_range"])
         .withColumn(position, F.col("_start") + F.col("_rank") - 1)
-        .drop("_hash", "_range", "_start", "_rank")
+        .select(*rows.columns, position)
     )
-    if limited:
-        placed = placed.filter(size.isNull() | (F.col(position) < size))
+    if limits:
+        placed = placed.filter(F.col(position) < _by_group(group, kept, "bigint"))
     return placed
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quillprep.functions import rouge
 from quillprep.params import ROUGE_TYPES, EvalParams
@@ -24,7 +24,7 @@ def batch_predictor(
     ``factory()`` returns a function from a list of prompts to as many texts.
     """
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for prompts in batches:
@@ -53,10 +53,9 @@ def with_scores(pairs: DataFrame, params: EvalParams) -> DataFrame:
     ).drop("_predicted", "_referenced")
 
     def measure(kind: str) -> Column:
-        fewer = 1 if kind == "rouge2" else 0
-        grams = [
-            F.greatest(F.col(n) - fewer, F.lit(0)) for n in ("_n_predicted", "_n_referenced")
-        ]
+        grams = [F.col("_n_predicted"), F.col("_n_referenced")]
+        if kind == "rouge2":
+            grams = [F.greatest(n - 1, F.lit(0)) for n in grams]
         return rouge.f_measure(F.col("_matches")[kind], *grams).alias(kind)
 
     scores = F.struct(*[measure(kind) for kind in kinds])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -55,7 +56,8 @@ def top_tokens(counts: DataFrame, size: int) -> DataFrame:
         .limit(size)
         .select("token", (F.row_number().over(Window.orderBy(*order)) + 2).alias("token_id"))
     )
-    reserved = spark.createDataFrame(list(zip(RESERVED, range(3))), "token string, token_id int")
+    rows = ", ".join(f"('{token}', {number})" for number, token in enumerate(RESERVED))
+    reserved = spark.sql(f"SELECT * FROM VALUES {rows} AS reserved(token, token_id)")
     return reserved.unionByName(top)
 
 
@@ -66,7 +68,7 @@ def build_vocabulary(tokens: DataFrame, size: int, column: str = "tokens") -> Da
 
 @dataclass(frozen=True)
 class Lookup:
-    """A vocabulary small enough to broadcast: its tokens in id order, ids from 0."""
+    """A vocabulary small enough to broadcast: an Arrow array of its tokens in id order."""
 
     tokens: Broadcast
     size: int
@@ -83,4 +85,4 @@ def broadcast_lookup(spark: SparkSession, vocabulary: DataFrame) -> Lookup | Non
         raise ValueError("vocabulary ids must run from 0 without a gap")
     ordered = vocabulary.select("token", "token_id").orderBy("token_id")
     tokens = [r.token for r in ordered.collect()]
-    return Lookup(spark.sparkContext.broadcast(tokens), n)
+    return Lookup(spark.sparkContext.broadcast(pa.array(tokens, pa.string())), n)

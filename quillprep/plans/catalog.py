@@ -133,12 +133,12 @@ def index_prefix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_whitespace(spark: SparkSession, sf: str) -> DataFrame:
-    docs = tables.table(spark, sf, "documents")
+    docs = tables.documents(spark, sf)
     return docs.select("doc_id", text.clean_whitespace(F.col("text")).alias("cleaned"))
 
 
 def strip_target(spark: SparkSession, sf: str) -> DataFrame:
-    docs = tables.table(spark, sf, "documents")
+    docs = tables.documents(spark, sf)
     padded = F.concat(F.lit(" \t\n "), "text", F.lit("\n  "))
     return docs.select("doc_id", text.strip_edges(padded).alias("stripped"))
 
@@ -264,13 +264,13 @@ def generate_lead(spark: SparkSession, sf: str) -> DataFrame:
 
 def rouge_tokens(spark: SparkSession, sf: str) -> DataFrame:
     tokens = rouge.scoring_tokens(F.col("text"), SCORE.pattern)
-    docs = tables.table(spark, sf, "documents").select("doc_id", tokens.alias("t"))
+    docs = tables.documents(spark, sf).select("doc_id", tokens.alias("t"))
     return docs.select("doc_id", F.size("t").alias("n"), F.array_join("t", " ").alias("tokens"))
 
 
 def rouge_tokens_stemmed(spark: SparkSession, sf: str) -> DataFrame:
     tokens = rouge.stem_tokens(rouge.scoring_tokens(F.col("text"), SCORE.pattern))
-    docs = tables.table(spark, sf, "documents")
+    docs = tables.documents(spark, sf)
     return docs.select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
 

@@ -22,9 +22,20 @@ def run_records(spark: SparkSession, path: str, run_id: str, n: int) -> DataFram
     return latest_records(index_prefix(mine, n))
 
 
+def _scores_only(records: DataFrame) -> DataFrame:
+    """Leave the texts in the files before records are compared by attempt."""
+    return records.select("run_id", "index", "attempt", "scores")
+
+
+def run_scores(spark: SparkSession, path: str, run_id: str, n: int) -> DataFrame:
+    """A run's final scores among its first ``n`` examples, without texts."""
+    mine = read_results(spark, path).filter(F.col("run_id") == run_id)
+    return latest_records(_scores_only(index_prefix(mine, n)))
+
+
 def check_progress(spark: SparkSession, path: str, run_id: str, params: EvalParams) -> DataFrame:
     """``completed, target`` of a run; safe while it is running."""
-    records = run_records(spark, path, run_id, params.num_samples)
+    records = run_scores(spark, path, run_id, params.num_samples)
     return progress(records, params.num_samples)
 
 
@@ -45,7 +56,7 @@ def evaluate_run(
     spark = examples.sparkSession
     n = params.num_samples
     todo = index_prefix(examples, n).withColumn("run_id", F.lit(run_id))
-    done = run_records(spark, path, run_id, n)
+    done = run_scores(spark, path, run_id, n)
     attempt = 0
     if resume:
         todo = remaining(todo, done)
@@ -65,7 +76,7 @@ def evaluate_run(
                 F.col("target").alias("reference"),
             )
             append_results(score_records(predicted, params, attempt), path)
-    return mean_scores(run_records(spark, path, run_id, n), params.rouge_types)
+    return mean_scores(run_scores(spark, path, run_id, n), params.rouge_types)
 
 
 def evaluate_checkpoint(
@@ -84,4 +95,5 @@ def evaluate_checkpoint(
 
 def compare_runs(spark: SparkSession, path: str, rouge_types: tuple[str, ...]) -> DataFrame:
     """Mean scores of every run under a path."""
-    return mean_scores(latest_records(read_results(spark, path)), rouge_types, ["run_id"])
+    records = latest_records(_scores_only(read_results(spark, path)))
+    return mean_scores(records, rouge_types, ["run_id"])

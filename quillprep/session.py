@@ -49,9 +49,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: computed once, survives lost executors."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+    """Write a table to the shared folder and read it back: computed once, survives executors.
+
+    Unlike ``checkpoint()`` this runs the plan a single time, and the size on disk is known to
+    the planner afterwards.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def planned_bytes(df: DataFrame) -> int:

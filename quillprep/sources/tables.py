@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillprep.session import spread
 
-FIRST_SENTENCE = "^[^.!?]*[.!?]"
+# the whole text where no sentence ends
+FIRST_SENTENCE = r"^[^.!?]*(?:[.!?]|\z)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,21 +20,23 @@ def split_of(number: Column) -> Column:
     return F.when(digit < 8, "train").when(digit == 8, "validation").otherwise("test")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
 def pairs_of_documents(docs: DataFrame) -> DataFrame:
     """Each document with its first sentence as the summary; batch or stream."""
-    first = F.regexp_extract("text", FIRST_SENTENCE, 0)
     return docs.select(
         F.concat(F.lit("d"), "doc_id").alias("id"),
         split_of(F.col("doc_id")).alias("split"),
         "lang",
         F.col("text").alias("article"),
-        F.when(first == "", F.col("text")).otherwise(first).alias("highlights"),
+        F.regexp_extract("text", FIRST_SENTENCE, 0).alias("highlights"),
     )
 
 
 def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return pairs_of_documents(spread(docs))
+    return pairs_of_documents(documents(spark, sf_dir))
 
 
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

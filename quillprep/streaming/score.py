@@ -24,19 +24,22 @@ def read_scored(spark: SparkSession, path: str) -> DataFrame:
         return empty.withColumn("batch_id", F.lit(None).cast("int"))
 
 
+def score_batch(batch: DataFrame, batch_id: int, path: str, params: EvalParams) -> None:
+    """Score what no other micro-batch has scored, into the batch's own folder.
+
+    That folder does not count as done: a replay after a crash writes it again in full.
+    """
+    earlier = read_scored(batch.sparkSession, path).filter(F.col("batch_id") != batch_id)
+    records = score_records(remaining(batch, earlier), params)
+    records.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def start_score(
     predicted: DataFrame, path: str, checkpoint: str, params: EvalParams
 ) -> StreamingQuery:
     """Score arriving ``run_id, index, prediction, reference`` rows not scored before, then stop."""
-
-    def score_batch(batch: DataFrame, batch_id: int) -> None:
-        # the batch's own folder does not count as done: a replay must write it again in full
-        earlier = read_scored(batch.sparkSession, path).filter(F.col("batch_id") != batch_id)
-        records = score_records(remaining(batch, earlier), params)
-        records.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
     return (
-        predicted.writeStream.foreachBatch(score_batch)
+        predicted.writeStream.foreachBatch(lambda b, n: score_batch(b, n, path, params))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
