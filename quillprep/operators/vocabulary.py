@@ -83,6 +83,6 @@ def broadcast_lookup(spark: SparkSession, vocabulary: DataFrame) -> Lookup | Non
         return None
     if n and (lowest, highest) != (0, n - 1):
         raise ValueError("vocabulary ids must run from 0 without a gap")
-    ordered = vocabulary.select("token", "token_id").orderBy("token_id")
-    tokens = [r.token for r in ordered.collect()]
+    rows = vocabulary.select("token_id", "token").collect()
+    tokens = [token for _, token in sorted(rows)]
     return Lookup(spark.sparkContext.broadcast(pa.array(tokens, pa.string())), n)

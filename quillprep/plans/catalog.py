@@ -16,7 +16,7 @@ from quillprep.operators.vocabulary import EOS_ID, broadcast_lookup
 from quillprep.params import SPLITS, ChatFormat, EvalParams, PrepParams
 from quillprep.plans.evaluate import compare_runs
 from quillprep.plans.prepare import fit_vocabulary
-from quillprep.session import scratch_path
+from quillprep.session import cut_lineage, scratch_path
 from quillprep.sources import export, results, splits, tables
 from quillprep.streaming.prepare import start_prepare
 from quillprep.streaming.score import read_scored, start_score
@@ -74,9 +74,10 @@ def results_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def results_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "results")
-    records = _lead_records(spark, sf, SHORT_LEAD)
+    pairs = cut_lineage(_predicted(_indexed(spark, sf), SHORT_LEAD))
     for part in range(2):
-        results.append_results(records.filter(F.col("index") % 2 == part), path)
+        work = pairs.filter(F.col("index") % 2 == part)
+        results.append_results(scoring.score_records(work, SCORE), path)
     return (
         results.read_results(spark, path)
         .groupBy("run_id", "attempt")
@@ -91,7 +92,7 @@ def results_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def export_parquet(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "export")
-    export.export_training_set(packing.pack(_examples(spark, sf), PREP), path)
+    export.export_training_set(_examples(spark, sf), path, PREP)
     total = lambda c: F.sum(F.aggregate(c, F.lit(0), lambda a, x: a + x))
     return (
         spark.read.parquet(path)
@@ -245,8 +246,8 @@ def _predicted(pairs: DataFrame, n: int) -> DataFrame:
     return pairs.withColumn("prediction", lead).withColumn("run_id", F.lit(f"lead-{n}"))
 
 
-def _lead_records(spark: SparkSession, sf: str, n: int, attempt: int = 0) -> DataFrame:
-    return scoring.score_records(_predicted(_indexed(spark, sf), n), SCORE, attempt)
+def _lead_records(spark: SparkSession, sf: str, n: int) -> DataFrame:
+    return scoring.score_records(_predicted(_indexed(spark, sf), n), SCORE)
 
 
 def _flat(records: DataFrame) -> DataFrame:
@@ -306,8 +307,9 @@ def eval_progress(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def eval_resume_todo(spark: SparkSession, sf: str) -> DataFrame:
-    todo = _predicted(_indexed(spark, sf), LEAD).select("run_id", "index", "id")
-    return runs.remaining(todo, _done(_lead_records(spark, sf, LEAD)))
+    predicted = _predicted(_indexed(spark, sf), LEAD)
+    done = _done(scoring.score_records(predicted, SCORE))
+    return runs.remaining(predicted.select("run_id", "index", "id"), done)
 
 
 def rouge_by_run(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,9 +319,10 @@ def rouge_by_run(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def eval_merge(spark: SparkSession, sf: str) -> DataFrame:
-    first = _lead_records(spark, sf, LEAD)
-    again = _done(_lead_records(spark, sf, SHORT_LEAD, attempt=1))
-    again = again.withColumn("run_id", F.lit(f"lead-{LEAD}"))
+    pairs = _indexed(spark, sf)
+    first = scoring.score_records(_predicted(pairs, LEAD), SCORE)
+    other = _predicted(_done(pairs), SHORT_LEAD).withColumn("run_id", F.lit(f"lead-{LEAD}"))
+    again = scoring.score_records(other, SCORE, attempt=1)
     return _flat(runs.merge_records(first, again))
 
 

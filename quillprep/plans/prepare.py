@@ -9,11 +9,14 @@ from quillprep.operators.pairs import prompt_target_pairs
 from quillprep.operators.sampling import require_unique_key, sample_per_split
 from quillprep.operators.vocabulary import build_vocabulary
 from quillprep.params import PrepParams
+from quillprep.session import cut_lineage
+from quillprep.sources.export import export_training_set
 
 
-def prepare_pairs(rows: DataFrame, params: PrepParams) -> DataFrame:
+def prepare_pairs(rows: DataFrame, params: PrepParams, check_keys: bool = True) -> DataFrame:
     """Sample each split, then build ``index, prompt, target``; text work on the sample only."""
-    require_unique_key(rows, params.key_col)
+    if check_keys:
+        require_unique_key(rows, params.key_col)
     sampled = sample_per_split(rows, params.split_sizes, params.key_col, params.seed)
     return prompt_target_pairs(sampled, params)
 
@@ -28,12 +31,29 @@ def fit_vocabulary(tokenized: DataFrame, params: PrepParams) -> DataFrame:
     return build_vocabulary(train_tokens(tokenized), params.vocab_size)
 
 
-def tokenize_splits(
+def encode_splits(
     pairs: DataFrame, params: PrepParams, vocabulary: DataFrame | None = None
 ) -> DataFrame:
-    """Pairs to fixed-length ``input_ids, attention_mask, labels``."""
+    """Pairs to ``prompt_ids, target_ids`` within ``max_len``; the vocabulary is built if absent."""
     tokenized = packing.with_tokens(pairs, params)
     if vocabulary is None:
         vocabulary = fit_vocabulary(tokenized, params)
-    key = ["split", params.key_col]
-    return packing.pack(packing.encode_examples(tokenized, vocabulary, params, key), params)
+    return packing.encode_examples(tokenized, vocabulary, params, ["split", params.key_col])
+
+
+def tokenize_splits(
+    pairs: DataFrame, params: PrepParams, vocabulary: DataFrame | None = None
+) -> DataFrame:
+    """Pairs to fixed-length ``input_ids, attention_mask, labels``."""
+    return packing.pack(encode_splits(pairs, params, vocabulary), params)
+
+
+def prepare_training_set(rows: DataFrame, path: str, params: PrepParams) -> DataFrame:
+    """Raw rows to an exported training set in sample order; returns the prepared pairs.
+
+    The pairs are written once: the vocabulary pass, the encoding and an evaluation read them
+    instead of sampling again.
+    """
+    pairs = cut_lineage(prepare_pairs(rows, params))
+    export_training_set(encode_splits(pairs, params), path, params, order="index")
+    return pairs

@@ -98,3 +98,8 @@ def load_splits(
     reader = _READERS[fmt]
     rows = union_splits({name: reader(spark, p, required) for name, p in paths.items()})
     return apply_null_rule(rows, required[1:], params)
+
+
+def save_splits(rows: DataFrame, path: str) -> None:
+    """Write loaded splits as Parquet, one folder per split, for all later passes."""
+    rows.write.partitionBy("split").parquet(path)

@@ -1,10 +1,11 @@
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quillprep.params import PrepParams
-from quillprep.plans.prepare import prepare_pairs, tokenize_splits
-from quillprep.session import cut_lineage, spread
+from quillprep.plans.prepare import prepare_training_set
+from quillprep.session import spread
 from quillprep.sources import splits
 from quillprep.sources.export import export_training_set
 
@@ -70,13 +71,11 @@ def test_whole_preparation(spark, tmp_path):
         F.lit(" summary\n").alias("highlights"),
     )
     params = PrepParams(split_sizes={"train": 25, "validation": 4, "test": 100}, max_len=64, max_target=16)
-    pairs = cut_lineage(prepare_pairs(rows, params))
+    path = str(tmp_path / "out")
+    pairs = prepare_training_set(rows, path, params)
     assert {r.split: r["count"] for r in pairs.groupBy("split").count().collect()} == {
         "train": 25, "validation": 4, "test": 10,
     }
-    packed = tokenize_splits(pairs, params)
-    path = str(tmp_path / "out")
-    export_training_set(packed, path, order="index")
     back = spark.read.parquet(path)
     assert back.count() == 39 and set(back.columns) == {
         "split", "index", "input_ids", "attention_mask", "labels",
@@ -84,6 +83,29 @@ def test_whole_preparation(spark, tmp_path):
     assert back.filter((F.size("input_ids") != 64) | (F.size("labels") != 64)).count() == 0
 
 
+def test_files_hold_consecutive_positions(spark, tmp_path):
+    rows = spark.range(95).select(
+        F.when(F.col("id") < 70, "train").otherwise("test").alias("split"),
+        F.when(F.col("id") < 70, F.col("id")).otherwise(F.col("id") - 70).alias("index"),
+        F.array(F.lit(7)).alias("prompt_ids"),
+        F.array(F.col("id").cast("int")).alias("target_ids"),
+    ).repartition(5)
+    path = str(tmp_path / "out")
+    export_training_set(rows, path, PrepParams(max_len=4, max_target=2), "index", 20)
+    for split, n in (("train", 70), ("test", 25)):
+        files = sorted((tmp_path / "out" / f"split={split}").glob("part-*.parquet"))
+        assert len(files) == -(-n // 20)
+        seen = [r["index"] for f in files for r in pq.read_table(f, columns=["index"]).to_pylist()]
+        assert seen == list(range(n))
+
+
+def test_saved_splits(spark, paths, tmp_path):
+    rows = splits.load_splits(spark, paths, PrepParams(on_null="drop"))
+    splits.save_splits(rows, str(tmp_path / "saved"))
+    back = spark.read.parquet(str(tmp_path / "saved")).select(*rows.columns)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_spread_only_touches_small_inputs(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).coalesce(1).write.parquet(path)
