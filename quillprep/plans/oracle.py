@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from quillprep.functions import porter
 from quillprep.functions.text import MARKER_PATTERN, TOKEN_PATTERN, WS
 from quillprep.params import (
     INSTRUCTION_TEMPLATE,
@@ -152,9 +153,105 @@ CTES = {
 }
 
 
-def _with(select: str, predicted: str = "SELECT * FROM lead") -> str:
+# Stemming: the algorithm's conditions are regular, so each step is a CASE over distinct words.
+# A y that counts as a vowel is written Y meanwhile.
+V, C = "[aeiouY]", "[^aeiouY]"
+M_OVER_0 = f"^{C}*{V}+{C}"
+M_OVER_1 = f"^{C}*{V}+{C}+{V}+{C}"
+M_IS_1 = f"^{C}*{V}+{C}+{V}*$"
+SHORT_END = f"{C}{V}[^aeiouYwxy]$"
+
+
+def _is(stem: str, pattern: str) -> str:
+    return f"regexp_matches({stem}, '{pattern}')"
+
+
+def _suffixes(rules: tuple[tuple[str, str], ...], condition: str, extra: str = "") -> str:
+    """The longest suffix decides; it is replaced if its stem meets the condition."""
+    cases = "".join(
+        f"WHEN k LIKE '%{old}' THEN CASE WHEN {_is(f'left(k, -{len(old)})', condition)}"
+        f"{extra if old == 'ion' else ''} THEN left(k, -{len(old)}) || '{new}' ELSE k END "
+        for old, new in sorted(rules, key=lambda rule: -len(rule[0]))
+    )
+    return f"CASE {cases}ELSE k END"
+
+
+STEM_STEPS = [
+    # mark vowels among the y
+    """regexp_replace(regexp_replace(regexp_replace(w, '([^aeiouy])y', '\\1Y', 'g'),
+        '^yy', 'yY'), '([aeiouY])yy', '\\1yY', 'g')""",
+    """CASE WHEN k LIKE '%sses' OR k LIKE '%ies' THEN left(k, -2)
+        WHEN k LIKE '%s' AND k NOT LIKE '%ss' THEN left(k, -1) ELSE k END""",
+    # a removed ending is left behind as a mark for the next step
+    f"""CASE WHEN k LIKE '%eed' THEN
+            CASE WHEN {_is('left(k, -3)', M_OVER_0)} THEN left(k, -1) ELSE k END
+        WHEN k LIKE '%ed' AND {_is('left(k, -2)', V)} THEN left(k, -2) || '#'
+        WHEN k LIKE '%ing' AND {_is('left(k, -3)', V)} THEN left(k, -3) || '#' ELSE k END""",
+    f"""CASE WHEN k NOT LIKE '%#' THEN k
+        WHEN {_is('k', '(at|bl|iz)#$')} THEN replace(k, '#', 'e')
+        WHEN len(k) > 2 AND lower(k[-2]) = lower(k[-3]) AND {_is('k', '[^aeiouYlsz]#$')}
+            THEN left(k, -2)
+        WHEN {_is('left(k, -1)', M_IS_1)} AND {_is('left(k, -1)', SHORT_END)}
+            THEN replace(k, '#', 'e')
+        ELSE left(k, -1) END""",
+    f"CASE WHEN k ILIKE '%y' AND {_is('left(k, -1)', V)} THEN left(k, -1) || 'i' ELSE k END",
+    _suffixes(porter.STEP_2, M_OVER_0),
+    _suffixes(porter.STEP_3, M_OVER_0),
+    _suffixes(
+        tuple((old, "") for old in porter.STEP_4),
+        M_OVER_1,
+        f" AND {_is('left(k, -3)', '[st]$')}",
+    ),
+    f"""CASE WHEN k LIKE '%e' AND ({_is('left(k, -1)', M_OVER_1)}
+        OR ({_is('left(k, -1)', M_IS_1)} AND NOT {_is('left(k, -1)', SHORT_END)}))
+        THEN left(k, -1) ELSE k END""",
+    f"CASE WHEN k LIKE '%ll' AND {_is('k', M_OVER_1)} THEN left(k, -1) ELSE k END",
+]
+
+
+def _stems(words: str) -> str:
+    """Words of at least four letters to stems, from a statement with distinct ``w``."""
+    step, *others = STEM_STEPS
+    sql = f"SELECT w, {step} AS k FROM ({words}) WHERE length(w) >= 4"
+    for step in others:
+        sql = f"SELECT w, {step} AS k FROM ({sql})"
+    return f"""SELECT w, replace(k, 'Y', 'y') AS stem FROM ({sql})
+        UNION ALL SELECT w, w FROM ({words}) WHERE length(w) < 4"""
+
+
+STEMMED = {
+    "plain": """
+        SELECT *, regexp_extract_all(lower(prediction), '[a-z0-9]+') AS p0,
+            regexp_extract_all(lower(reference), '[a-z0-9]+') AS r0
+        FROM predicted""",
+    "stems": _stems(
+        """SELECT DISTINCT w FROM (SELECT unnest(list_concat(p0, r0)) AS w FROM plain)"""
+    ),
+    "stemmed_p": """
+        SELECT id, run_id, list(stem ORDER BY pos) AS pw FROM (SELECT id, run_id,
+            unnest(p0) AS w, generate_subscripts(p0, 1) AS pos FROM plain)
+        JOIN stems USING (w) GROUP BY id, run_id""",
+    "stemmed_r": """
+        SELECT id, run_id, list(stem ORDER BY pos) AS rw FROM (SELECT id, run_id,
+            unnest(r0) AS w, generate_subscripts(r0, 1) AS pos FROM plain)
+        JOIN stems USING (w) GROUP BY id, run_id""",
+    "words": """
+        SELECT id, run_id, index, prediction, reference, coalesce(pw, []) AS pw,
+            coalesce(rw, []) AS rw
+        FROM plain LEFT JOIN stemmed_p USING (id, run_id) LEFT JOIN stemmed_r USING (id, run_id)""",
+}
+
+STEMMED_DOCUMENTS = {
+    "plain": f"SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS t FROM documents",
+    "stems": _stems("SELECT DISTINCT w FROM (SELECT unnest(t) AS w FROM plain)"),
+}
+
+
+def _with(
+    select: str, predicted: str = "SELECT * FROM lead", others: dict[str, str] | None = None
+) -> str:
     """Put the CTEs a statement needs before it."""
-    ctes = {**CTES, "predicted": predicted}
+    ctes = {**CTES, "predicted": predicted, **(others or {})}
     needed: list[str] = []
 
     def visit(sql: str) -> None:
@@ -272,6 +369,14 @@ ORACLE_SQL = {
     "rougeL_f": _with('SELECT id, round(rougeL, 6) AS "rougeL" FROM scored'),
     "score_records": _with(f"SELECT {RECORD.format(attempt=0)} FROM scored"),
     "rouge_mean": _with(f"SELECT {MEANS} FROM scored"),
+    "rouge_mean_stemmed": _with(f"SELECT {MEANS} FROM scored", others=STEMMED),
+    "rouge_tokens_stemmed": _with(
+        """SELECT plain.doc_id, coalesce(string_agg(stem, ' ' ORDER BY pos), '') AS tokens
+            FROM plain LEFT JOIN (SELECT doc_id, unnest(t) AS w,
+                generate_subscripts(t, 1) AS pos FROM plain) u ON plain.doc_id = u.doc_id
+            LEFT JOIN stems USING (w) GROUP BY plain.doc_id""",
+        others=STEMMED_DOCUMENTS,
+    ),
     "eval_progress": _with(
         """SELECT count(*) FILTER (index % 3 = 0 AND index < 400) AS completed,
             400::BIGINT AS target FROM evals"""
