@@ -130,7 +130,12 @@ CTES = {
         FROM predicted""",
     "ov1": _clipped(1),
     "ov2": _clipped(2),
-    # rows of the dynamic programme, one per predicted word, each a running maximum
+    # rows of the dynamic programme, one per predicted word, each a running maximum; words the
+    # other side lacks are in no common subsequence
+    "common": """
+        SELECT id, run_id, [x FOR x IN pw IF list_contains(rw, x)] AS pw,
+            [y FOR y IN rw IF list_contains(pw, y)] AS rw
+        FROM words""",
     "ovl": """
         SELECT id, run_id, list_last(list_reduce(
             list_prepend([0 FOR y IN range(len(rw) + 1)],
@@ -139,7 +144,7 @@ CTES = {
                 list_prepend([0], [[CASE WHEN hit[j + 1] = 1 THEN above[j] + 1
                     ELSE above[j + 1] END] FOR j IN range(1, len(hit))]),
                 lambda row, c: list_append(row, greatest(row[-1], c[1]))))) AS matches
-        FROM words""",
+        FROM common""",
     "scored": """
         SELECT w.id, w.run_id, w.index, w.prediction, w.reference,
             coalesce(2.0::DOUBLE * ov1.matches / (len(pw) + len(rw)), 0) AS rouge1,
