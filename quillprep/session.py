@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import quillprep
+
 
 def local_session(cores: str = "8", memory: str = "12g", **conf: str) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
@@ -27,6 +32,20 @@ def local_session(cores: str = "8", memory: str = "12g", **conf: str) -> SparkSe
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started; once per app."""
+    _ship(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _ship(application_id: str) -> None:
+    home = Path(quillprep.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="quillprep-package-")) / home.name
+    # Spark copies the archive from the driver to every executor
+    shutil.make_archive(str(archive), "zip", home.parent, home.name)
+    SparkSession.active().sparkContext.addPyFile(f"{archive}.zip")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
@@ -65,7 +84,7 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input too small to give each core one full split.
+    """Use all cores on an input of few files and less than one full split per core.
 
     Row groups are not split by the scan, so a small file runs on one core. The shuffle this
     adds is bounded by cores x ``maxPartitionBytes``; a larger input is returned as it is.
@@ -74,4 +93,5 @@ def spread(df: DataFrame) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
     split_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split))
-    return df.repartition(cores) if planned_bytes(df) < cores * split_bytes else df
+    small = planned_bytes(df) < cores * split_bytes and len(df.inputFiles()) < cores
+    return df.repartition(cores) if small else df
