@@ -42,6 +42,16 @@ def fill_template(template: str, article: Column) -> Column:
     return F.concat(*[article if p is None else F.lit(p) for p in parts])
 
 
+def article_of(prompt: Column, template: str) -> Column:
+    """The article a prompt was filled with; the template must use it once."""
+    parts = template_parts(template)
+    if parts.count(None) != 1:
+        raise ValueError("the template must hold {article} once")
+    at = parts.index(None)
+    before, after = (len("".join(p)) for p in (parts[:at], parts[at + 1 :]))
+    return F.substring(prompt, F.lit(before + 1), F.length(prompt) - before - after)
+
+
 def message(role: str | Column, content: str | Column) -> Column:
     """One chat message as ``struct<role, content>``."""
     as_col = lambda v: v if isinstance(v, Column) else F.lit(v)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillprep.functions import arrays, rouge, text
 from quillprep.operators import audit, epochs, packing, runs, sampling, scoring
-from quillprep.operators.encoding import decode_ids, encode, lookup_ids
+from quillprep.operators.encoding import custom_tokenizer, decode_ids, encode, lookup_ids
 from quillprep.operators.pairs import (
     prompt_target_pairs,
     render_conversations,
@@ -202,6 +202,15 @@ def decode(spark: SparkSession, sf: str) -> DataFrame:
     return closed.select("id", decode_ids(F.col("ids"), lookup).alias("decoded"))
 
 
+def _word_lengths():
+    return lambda content: [len(word) for word in content.split()]
+
+
+def caller_tokenizer(spark: SparkSession, sf: str) -> DataFrame:
+    ids = custom_tokenizer(_word_lengths)(F.col("text")).alias("ids")
+    return tables.documents(spark, sf).select("doc_id", ids).select("doc_id", _joined("ids"))
+
+
 def drop_prompt(spark: SparkSession, sf: str) -> DataFrame:
     examples = _examples(spark, sf)
     whole = F.concat("prompt_ids", "target_ids")
@@ -263,6 +272,15 @@ def generate_lead(spark: SparkSession, sf: str) -> DataFrame:
     return _predicted(_eval_pairs(spark, sf), LEAD).select("id", "prediction")
 
 
+def _last_words():
+    return lambda prompts: [" ".join(prompt.split()[-12:]) for prompt in prompts]
+
+
+def caller_predictor(spark: SparkSession, sf: str) -> DataFrame:
+    predict = scoring.batch_predictor(_last_words)
+    return _pairs(spark, sf).select("id", predict(F.col("prompt")).alias("prediction"))
+
+
 def rouge_tokens(spark: SparkSession, sf: str) -> DataFrame:
     tokens = rouge.scoring_tokens(F.col("text"), SCORE.pattern)
     docs = tables.documents(spark, sf).select("doc_id", tokens.alias("t"))
@@ -381,9 +399,11 @@ QUERIES = {
     "truncation_audit": truncation_audit,
     "decode_ids": decode,
     "drop_prompt": drop_prompt,
+    "caller_tokenizer": caller_tokenizer,
     "epoch_plan": epoch_plan,
     "step_token_stats": step_token_stats,
     "generate_lead": generate_lead,
+    "caller_predictor": caller_predictor,
     "rouge_tokens": rouge_tokens,
     "rouge_tokens_stemmed": rouge_tokens_stemmed,
     "rouge1_f": _rouge("rouge1"),

@@ -7,10 +7,11 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from quillprep.functions.text import article_of
 from quillprep.operators.runs import latest_records, progress, remaining
 from quillprep.operators.sampling import index_prefix
-from quillprep.operators.scoring import mean_scores, score_records
-from quillprep.params import SPOT_CHECK_SAMPLES, EvalParams
+from quillprep.operators.scoring import lead_prediction, mean_scores, score_records
+from quillprep.params import INSTRUCTION_TEMPLATE, SPOT_CHECK_SAMPLES, EvalParams
 from quillprep.sources.results import append_results, read_results
 
 Predictor = Callable[[Column], Column]
@@ -22,6 +23,16 @@ def run_records(spark: SparkSession, path: str, run_id: str, n: int) -> DataFram
     return latest_records(index_prefix(mine, n))
 
 
+def lead_baseline(params: EvalParams, template: str = INSTRUCTION_TEMPLATE) -> Predictor:
+    """The default predictor: the article's first ``max_new_tokens`` scoring tokens."""
+
+    def predict(prompt: Column) -> Column:
+        article = article_of(prompt, template)
+        return lead_prediction(article, params.max_new_tokens, params.pattern)
+
+    return predict
+
+
 def _scores_only(records: DataFrame) -> DataFrame:
     """Leave the texts in the files before records are compared by attempt."""
     return records.select("run_id", "index", "attempt", "scores")
@@ -43,18 +54,19 @@ def evaluate_run(
     examples: DataFrame,
     run_id: str,
     path: str,
-    predictor: Predictor,
-    params: EvalParams,
+    predictor: Predictor | None = None,
+    params: EvalParams = EvalParams(),
     resume: bool = True,
-    prompt_col: str = "prompt",
 ) -> DataFrame:
     """Score the first ``num_samples`` of ``index, prompt, target`` and return the mean scores.
 
     Work is committed slice by slice along ``index``; a killed run goes on after its last slice.
-    ``resume=False`` scores everything again as a further attempt.
+    ``resume=False`` scores everything again as a further attempt. Every slice reads ``examples``
+    again: pass a written table.
     """
     spark = examples.sparkSession
     n = params.num_samples
+    predictor = predictor or lead_baseline(params)
     todo = index_prefix(examples, n).withColumn("run_id", F.lit(run_id))
     done = run_scores(spark, path, run_id, n)
     attempt = 0
@@ -72,7 +84,7 @@ def evaluate_run(
             predicted = part.select(
                 "run_id",
                 "index",
-                predictor(F.col(prompt_col)).alias("prediction"),
+                predictor(F.col("prompt")).alias("prediction"),
                 F.col("target").alias("reference"),
             )
             append_results(score_records(predicted, params, attempt), path)
@@ -83,13 +95,12 @@ def evaluate_checkpoint(
     examples: DataFrame,
     checkpoint_name: str,
     path: str,
-    predictor: Predictor,
+    predictor: Predictor | None = None,
     num_samples: int = SPOT_CHECK_SAMPLES,
-    params: EvalParams | None = None,
+    params: EvalParams = EvalParams(),
 ) -> DataFrame:
     """Spot check of a named checkpoint on a prefix of the test examples."""
-    base = params or EvalParams()
-    spot_check = replace(base, num_samples=num_samples, slices=1)
+    spot_check = replace(params, num_samples=num_samples, slices=1)
     return evaluate_run(examples, checkpoint_name, path, predictor, spot_check)
 
 

@@ -356,6 +356,14 @@ ORACLE_SQL = {
             LEFT JOIN vocab USING (token) GROUP BY toks.id"""
     ),
     "drop_prompt": _with(f"SELECT id, {_ids('t', 'generated')} FROM cut"),
+    "caller_tokenizer": f"""SELECT doc_id, array_to_string(
+        [length(w) FOR w IN regexp_split_to_array({_strip("text")}, '{WS}+') IF w <> ''], ',')
+        AS ids FROM documents""",
+    "caller_predictor": _with(
+        """SELECT id, array_to_string(list_slice(w, greatest(len(w) - 11, 1), len(w)), ' ')
+            AS prediction FROM (SELECT id, [x FOR x IN
+            string_split(replace(prompt, chr(10), ' '), ' ') IF x <> ''] AS w FROM prompts)"""
+    ),
     "epoch_plan": _with(
         f"""SELECT *, position AS micro_batch, position // 16 AS step
             FROM (SELECT id, epoch::INT AS epoch,

@@ -3,9 +3,11 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from quillprep.functions.text import article_of
 from quillprep.operators import runs
+from quillprep.operators.pairs import prompt_target_pairs
 from quillprep.operators.scoring import batch_predictor
-from quillprep.params import EvalParams
+from quillprep.params import EvalParams, PrepParams
 from quillprep.plans import evaluate
 from quillprep.sources.results import append_results, read_results
 
@@ -67,6 +69,21 @@ def test_no_resume_is_a_further_attempt(spark, tmp_path):
     assert read_results(spark, path).count() == 40
 
 
+def test_default_predictor_leads_with_the_article(spark, tmp_path):
+    path = str(tmp_path / "r")
+    rows = spark.createDataFrame(
+        [(i, f"One two three number{i}", "one two three") for i in range(5)],
+        "index long, article string, highlights string",
+    )
+    params = replace(PARAMS, max_new_tokens=3)
+    pairs = prompt_target_pairs(rows, PrepParams())
+    assert evaluate.evaluate_run(pairs, "lead", path, params=params).head().rougeL == 1.0
+    records = evaluate.run_records(spark, path, "lead", 20).collect()
+    assert {r.prediction for r in records} == {"one two three"}
+    with pytest.raises(ValueError):
+        article_of(F.col("prompt"), "{article} {article}")
+
+
 def test_checkpoints_are_compared(spark, tmp_path):
     path = str(tmp_path / "r")
     evaluate.evaluate_checkpoint(examples(spark), "checkpoint-10", path, echo, 6, PARAMS)
