@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import shutil
+import os
 import tempfile
 import uuid
-from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,18 +31,16 @@ def local_session(cores: str = "8", memory: str = "12g", **conf: str) -> SparkSe
     return spark
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver was started; once per app."""
-    _ship(spark.sparkContext.applicationId)
+def expose_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it.
 
-
-@lru_cache(maxsize=None)
-def _ship(application_id: str) -> None:
-    home = Path(quillprep.__file__).parent
-    archive = Path(tempfile.mkdtemp(prefix="quillprep-package-")) / home.name
-    # Spark copies the archive from the driver to every executor
-    shutil.make_archive(str(archive), "zip", home.parent, home.name)
-    SparkSession.active().sparkContext.addPyFile(f"{archive}.zip")
+    For executors that see the same path; elsewhere install it or pass it with ``--py-files``.
+    """
+    home = str(Path(quillprep.__file__).parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([home, *paths])
 
 
 def checkpoint_root(spark: SparkSession) -> str:
