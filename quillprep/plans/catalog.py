@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillprep.functions import arrays, rouge, text
 from quillprep.operators import audit, epochs, packing, runs, sampling, scoring
@@ -14,7 +14,6 @@ from quillprep.operators.pairs import (
 )
 from quillprep.operators.vocabulary import EOS_ID, broadcast_lookup
 from quillprep.params import SPLITS, ChatFormat, EvalParams, PrepParams
-from quillprep.plans.evaluate import compare_runs
 from quillprep.plans.prepare import fit_vocabulary
 from quillprep.session import cut_lineage, scratch_path
 from quillprep.sources import export, results, splits, tables
@@ -31,7 +30,7 @@ SHORT_LEAD = 32
 EVAL_TARGET = 400
 
 
-def _joined(column: str) -> F.Column:
+def _joined(column: str) -> Column:
     return F.array_join(F.col(column).cast("array<string>"), ",").alias(column)
 
 

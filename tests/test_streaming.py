@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from quillprep.params import EvalParams, PrepParams
 from quillprep.streaming.prepare import start_prepare
 from quillprep.streaming.score import read_scored, score_batch, start_score
