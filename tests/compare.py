@@ -8,7 +8,7 @@ import time
 import duckdb
 import pandas as pd
 
-TABLES = ("documents", "conversations")
+TABLES = ("documents", "conversations", "pages", "labels", "benchmark")
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
