@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import mixing
+from quillprep.llm import mixing, quality
 from quillprep.sources.tables import table
 
 
@@ -14,6 +14,23 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements, failure bits and the verdict of policy v1 for each document."""
+    rows = quality.ledger(table(spark, sf_dir, "documents"))
+    return quality.apply_policy(rows, "v1").select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        (F.col("failed").bitwiseAND(F.lit(quality.policy_mask(quality.BASE)).cast("long")) != 0).alias("base_failed"),
+        "kept",
+        "failed",
+    )
+
+
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
+    "op9_quality_rules": op9_quality_rules,
 }

@@ -66,6 +66,40 @@ SELECT doc_id, size, source_size, target, taken
 FROM laid JOIN taken USING (row_no) JOIN targets USING (source, known)
 """
 
+QUALITY = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT row_no, unnest(range(0, len(words) - 4)) AS i, words FROM split WHERE len(words) >= 5
+), keyed AS (
+  SELECT row_no, i, [words[i + 1], words[i + 2], words[i + 3], words[i + 4], words[i + 5]] AS w FROM windows
+), twice AS (
+  SELECT row_no, i FROM keyed QUALIFY count(*) OVER (PARTITION BY row_no, w) > 1
+), covered AS (
+  SELECT row_no, count(DISTINCT i + k) AS n FROM twice, range(5) t(k) GROUP BY row_no
+), measured AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words,
+         len(regexp_extract_all(text, '!!'))::BIGINT AS n_exclaim
+  FROM split LEFT JOIN covered USING (row_no)
+), bits AS (
+  SELECT *, ((n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
+             + 4 * (5 * n_symbols > n_words)::BIGINT + 8 * (2 * n_dup_lines > n_lines)::BIGINT
+             + 16 * (word_chars > 15 * n_words)::BIGINT + 32 * (10 * n_exclaim > 3 * n_words)::BIGINT
+             + 64 * (word_chars < 2 * n_words)::BIGINT)::BIGINT AS failed
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       failed & 3 <> 0 AS base_failed, failed & 47 = 0 AS kept, failed
+FROM bits
+"""
+
 ORACLE_SQL = {
     "op4_mix_sources": MIX,
+    "op9_quality_rules": QUALITY,
 }
