@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import mixing, quality
+from quillprep.llm import mixing, quality, sharding
 from quillprep.sources.tables import table
 
 
@@ -14,6 +14,16 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of each document among 40 shards, and its shard among 41."""
+    placed = sharding.shard_documents(
+        table(spark, sf_dir, "documents"), sharding.layout(40), sharding.layout(41)
+    )
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "region", "rack"
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and the verdict of policy v1 for each document."""
     rows = quality.ledger(table(spark, sf_dir, "documents"))
@@ -32,5 +42,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
+    "op8_hash_tree_shards": op8_hash_tree_shards,
     "op9_quality_rules": op9_quality_rules,
 }
