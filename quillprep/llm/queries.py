@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import mixing, quality, sharding
+from quillprep.llm import decontamination, mixing, quality, sharding
 from quillprep.sources.tables import table
 
 
@@ -14,6 +14,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document that contains a benchmark item, with the item and the share of it covered."""
+    return decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of each document among 40 shards, and its shard among 41."""
     placed = sharding.shard_documents(
@@ -42,6 +47,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
+    "op7_benchmark_tiling": op7_benchmark_tiling,
     "op8_hash_tree_shards": op8_hash_tree_shards,
     "op9_quality_rules": op9_quality_rules,
 }
