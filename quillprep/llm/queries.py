@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import decontamination, mixing, quality, sharding
+from quillprep.llm import decontamination, mixing, quality, sharding, simhash
 from quillprep.sources.tables import table
 
 
+def op1_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of each document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     _, documents = mixing.mix(table(spark, sf_dir, "documents"))
@@ -46,6 +52,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash_components": op1_simhash_components,
     "op4_mix_sources": op4_mix_sources,
     "op7_benchmark_tiling": op7_benchmark_tiling,
     "op8_hash_tree_shards": op8_hash_tree_shards,
