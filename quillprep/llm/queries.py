@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import decontamination, mixing, quality, sharding, simhash
+from quillprep.llm import decontamination, mixing, quality, sharding, simhash, substrings
 from quillprep.sources.tables import table
 
 
@@ -51,10 +51,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_cover_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without windows of 13 words that an earlier one has."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_components": op1_simhash_components,
     "op4_mix_sources": op4_mix_sources,
     "op7_benchmark_tiling": op7_benchmark_tiling,
     "op8_hash_tree_shards": op8_hash_tree_shards,
     "op9_quality_rules": op9_quality_rules,
+    "op10_cover_substrings": op10_cover_substrings,
 }

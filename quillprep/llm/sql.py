@@ -99,7 +99,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM bits
 """
 
+SUBSTRINGS = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), windows AS (
+  SELECT row_no, doc_id, i, array_to_string(words[i:i + 12], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM split WHERE len(words) >= 13)
+), seen AS (
+  SELECT row_no, i FROM windows
+  QUALIFY min(coalesce(doc_id, 9223372036854775807)) OVER (PARTITION BY w) < coalesce(doc_id, 9223372036854775807)
+), gone AS (
+  SELECT DISTINCT row_no, i + k AS i FROM seen, range(13) t(k)
+), numbered AS (
+  SELECT row_no, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split
+), kept AS (
+  SELECT row_no, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+  FROM numbered ANTI JOIN gone USING (row_no, i) GROUP BY row_no
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (row_no)
+"""
+
 ORACLE_SQL = {
     "op4_mix_sources": MIX,
     "op9_quality_rules": QUALITY,
+    "op10_cover_substrings": SUBSTRINGS,
 }
