@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import decontamination, mixing, quality, sharding, simhash, substrings
+from quillprep.llm import decontamination, mixing, quality, sharding, simhash, substrings, toxicity
 from quillprep.sources.tables import table
 
 
@@ -14,6 +14,18 @@ def op1_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_toxicity_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document, by a model that never saw the held-out rows' labels."""
+    docs, params = table(spark, sf_dir, "documents"), toxicity.ToxicityParams()
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), params)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.is_held_out(F.col("doc_id"), params).alias("held_out"),
+        "score",
+        (F.col("score") >= params.threshold).cast("int").alias("predicted"),
+    )
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     _, documents = mixing.mix(table(spark, sf_dir, "documents"))
@@ -58,6 +70,7 @@ def op10_cover_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_components": op1_simhash_components,
+    "op2_toxicity_decoder": op2_toxicity_decoder,
     "op4_mix_sources": op4_mix_sources,
     "op7_benchmark_tiling": op7_benchmark_tiling,
     "op8_hash_tree_shards": op8_hash_tree_shards,
