@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import decontamination, mixing, quality, sharding, simhash, substrings, toxicity
+from quillprep.llm import decontamination, mixing, pii, quality, sharding, simhash, substrings, toxicity
 from quillprep.sources.tables import table
 
 
@@ -32,6 +32,19 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each document: counts and digest of the base spans, and all spans."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    every = F.sort_array(F.concat("base", "added"))
+    return found.withColumn("every", every).select(
+        "doc_id",
+        *[count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)],
+        F.sha2(pii.named("base"), 256).alias("base_sha256"),
+        pii.named("every").alias("spans"),
+    )
+
+
 def op7_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document that contains a benchmark item, with the item and the share of it covered."""
     return decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -72,6 +85,7 @@ QUERIES = {
     "op1_simhash_components": op1_simhash_components,
     "op2_toxicity_decoder": op2_toxicity_decoder,
     "op4_mix_sources": op4_mix_sources,
+    "op6_weak_pii": op6_weak_pii,
     "op7_benchmark_tiling": op7_benchmark_tiling,
     "op8_hash_tree_shards": op8_hash_tree_shards,
     "op9_quality_rules": op9_quality_rules,
