@@ -48,7 +48,7 @@ class SimHashParams:
     bits: int = 2
     sample: int = 65_536
     sample_share: int = 16
-    shard_rows: int = 20_000
+    shard_rows: int = 5_000
     cell_rows: int = 200_000
 
     def __post_init__(self) -> None:
