@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import decontamination, mixing, pii, quality, sharding, simhash, substrings, toxicity
+from quillprep.llm import chat, decontamination, mixing, pii, quality, sharding, simhash, substrings, toxicity
 from quillprep.sources.tables import table
 
 
@@ -26,6 +26,19 @@ def op2_toxicity_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the examples of each conversation, and of one full of control strings, read back as."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(says).alias("text"),
+    )
+    return chat.read_back(chat.examples(given.unionByName(extra)))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     _, documents = mixing.mix(table(spark, sf_dir, "documents"))
@@ -84,6 +97,7 @@ def op10_cover_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_components": op1_simhash_components,
     "op2_toxicity_decoder": op2_toxicity_decoder,
+    "op3_prefix_targets": op3_prefix_targets,
     "op4_mix_sources": op4_mix_sources,
     "op6_weak_pii": op6_weak_pii,
     "op7_benchmark_tiling": op7_benchmark_tiling,

@@ -123,7 +123,32 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIG
 FROM split LEFT JOIN kept USING (row_no)
 """
 
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, row_number() OVER w AS nth, count(*) OVER (PARTITION BY conv_id) AS n,
+         -- marks and line feed, then both texts with a backslash for each of what is escaped in them
+         14 + list_sum([length(x) + length(regexp_replace(x, '[^\\]', '', 'g')) + len(string_split(x, '</turn>')) - 1
+                        + coalesce(list_sum([length(h) - 2 for h in regexp_extract_all(x, '###+')]), 0)
+                        for x in [role, text]])
+            + length(regexp_replace(role, '[^:]', '', 'g')) AS chars
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), lengths AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY nth) AS upto FROM sized
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       coalesce(sum(upto) FILTER (role = 'assistant' OR nth = n), 0)::BIGINT AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
+
 ORACLE_SQL = {
+    "op3_prefix_targets": CHAT,
     "op4_mix_sources": MIX,
     "op9_quality_rules": QUALITY,
     "op10_cover_substrings": SUBSTRINGS,
