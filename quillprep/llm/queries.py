@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import chat, decontamination, mixing, pii, quality, sharding, simhash, substrings, toxicity
+from quillprep.llm import chat, decontamination, mixing, pii, quality, sharding, simhash, substrings, toxicity, urls
 from quillprep.sources.tables import table
 
 
@@ -45,6 +45,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on each page's url by given and mined rules."""
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op6_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of each document: counts and digest of the base spans, and all spans."""
     found = pii.find(table(spark, sf_dir, "documents"))
@@ -99,6 +104,7 @@ QUERIES = {
     "op2_toxicity_decoder": op2_toxicity_decoder,
     "op3_prefix_targets": op3_prefix_targets,
     "op4_mix_sources": op4_mix_sources,
+    "op5_url_rules": op5_url_rules,
     "op6_weak_pii": op6_weak_pii,
     "op7_benchmark_tiling": op7_benchmark_tiling,
     "op8_hash_tree_shards": op8_hash_tree_shards,
