@@ -22,10 +22,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from quillprep.llm.arrow import Lists, map_lists
+from quillprep.llm.arrow import Lists, filter_rows, map_lists
 from quillprep.llm.columns import text_or_empty
 from quillprep.session import cut_lineage
 
@@ -215,9 +214,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, params: TilingParams
         items = [(r.item_id, tokens(r.text)) for r in rows.filter(F.col("block") == b).select("item_id", "text").toLocalIterator()]
         shared = spark.sparkContext.broadcast(Block(items, params.min_tile))
 
-        @F.pandas_udf("boolean")
-        def contains(texts: pd.Series, shared=shared, coverage=params.coverage) -> pd.Series:
-            return pd.Series([bool(shared.value.matches(t, coverage)) for t in texts], dtype=bool)
+        def judge(shared=shared, coverage=params.coverage):
+            return lambda text: not shared.value.matches(text, coverage)
 
-        out = out.filter(~contains(F.col("text")))
+        out = filter_rows(out, "text", judge)
     return out

@@ -46,18 +46,22 @@ class MixParams:
             raise ValueError("block and bucket sizes must be positive")
 
 
+def digest(id_col: str, text_col: str) -> Column:
+    """Where a row lies on its source's axis."""
+    return F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.md5(text_or_empty(text_col))))
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``doc_id, source, known, size, place``: the narrow table all else works on.
 
     ``place`` is a digest of id and text, so copies and rows without an id are spread as well.
     """
-    digest = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.md5(text_or_empty(text_col))))
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(source_col), F.lit("")).alias("source"),
         F.col(source_col).isNotNull().alias("known"),
         word_count(text_col).alias("size"),
-        digest.alias("place"),
+        digest(id_col, text_col).alias("place"),
     )
 
 
@@ -200,3 +204,34 @@ def mix(docs: DataFrame, params: MixParams = MixParams(), **columns: str) -> tup
         .select("doc_id", "place", "source", "size", "source_size", "target", "start", "taken", "copies")
     )
     return plan, documents
+
+
+def mixed_documents(docs: DataFrame, params: MixParams = MixParams(), **columns: str) -> DataFrame:
+    """Every row of ``docs``, with all its columns, as often as the mix's rounded copies say.
+
+    Rows equal in id, text and source are interchangeable and share their copies evenly.
+    """
+    _, plan = mix(docs, params, **columns)
+    keys = ["_place", "_source", "_known"]
+    shares = (
+        plan.groupBy(
+            F.col("place").alias("_place"),
+            F.coalesce("source", F.lit("")).alias("_source"),
+            F.col("source").isNotNull().alias("_known"),
+        )
+        .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    )
+    names = {"id_col": "doc_id", "text_col": "text", "source_col": "source"} | columns
+    source = F.col(names["source_col"])
+    place = digest(names["id_col"], names["text_col"])
+    tagged = docs.select("*", place.alias("_place"), F.coalesce(source, F.lit("")).alias("_source"), source.isNotNull().alias("_known"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(k) for k in keys]))
+    own = F.expr("cast(_copies div _rows + if(_nth <= _copies % _rows, 1, 0) as int)")
+    return (
+        tagged.join(shares, keys)
+        .withColumn("_nth", nth)
+        .withColumn("_times", own)
+        .filter("_times > 0")
+        .withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+        .drop(*keys, "_copies", "_rows", "_nth", "_times")
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillprep.llm import chat, decontamination, mixing, pii, quality, sharding, simhash, substrings, toxicity, urls
@@ -100,6 +101,7 @@ def op10_cover_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_simhash_components": op1_simhash_components,
     "op2_toxicity_decoder": op2_toxicity_decoder,
     "op3_prefix_targets": op3_prefix_targets,

@@ -110,3 +110,9 @@ def shard_documents(
         placed = place(placed, grown, ["doc_id"], "grown_shard")
     placed = cut_lineage(placed)
     return slots(placed, placed.count())
+
+
+def with_shards(docs: DataFrame, leaves: tuple[Leaf, ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` with ``shard, rack, region, slot``; columns of these names are replaced."""
+    rows = docs.drop("shard", "rack", "region", "slot")
+    return slots(place(rows, leaves, [id_col], path=True), docs.count(), order=(id_col, text_col))

@@ -26,7 +26,7 @@ from zlib import crc32
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillprep.llm.arrow import Lists, map_lists
+from quillprep.llm.arrow import Lists, filter_rows, map_lists
 
 # Which letters a character may imitate.
 IMITATES = {
@@ -296,15 +296,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def clean_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows that score under the threshold, with all their columns, judged where they lie."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    limit = model.params.threshold
-    names = docs.columns
-
-    def run(batches):
-        import pyarrow as pa
 
+    def judge():
         reader = shared.value.reader()
-        for b in batches:
-            kept = [shared.value.score(reader, t) < limit for t in b.column(names.index(text_col)).to_pylist()]
-            yield b.filter(pa.array(kept, pa.bool_()))
+        return lambda text: shared.value.score(reader, text) < shared.value.params.threshold
 
-    return docs.mapInArrow(run, docs.schema)
+    return filter_rows(docs, text_col, judge)
