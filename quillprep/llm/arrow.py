@@ -20,7 +20,8 @@ def map_lists(df: DataFrame, rows: Callable[[Iterator[Lists]], Iterator[Lists]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = ({name: column.to_pylist() for name, column in zip(b.schema.names, b.columns, strict=True)} for b in batches)
         for out in rows(lists):
-            arrays = [pa.array(out[f.name], f.type, from_pandas=False) for f in fields]
+            given = [(out[f.name], f.type) for f in fields]
+            arrays = [x if isinstance(x, pa.Array) else pa.array(x, kind, from_pandas=False) for x, kind in given]
             yield pa.RecordBatch.from_arrays(arrays, schema=fields)
 
     return df.mapInArrow(run, schema)

@@ -10,9 +10,12 @@ are then hashed where they hold an anchor of another document, and compared the
 Rows are compared with the smallest and largest id that has their hash, never with each other, so a
 passage in thousands of documents costs a row each. Hashes are 64 bits of words' XXH64.
 
-Defined results: null and empty texts have no words; texts under ``window`` words keep all. A null id
-counts as larger than every id, and windows that only rows of equal id share stay. Repeated rows
-are rows like any other. An empty table gives an empty result. Other columns are not read.
+Whether a window goes depends on its words and the row's id alone. So hashes are gathered by id, and
+rows without one, which count as larger than every id, by a hash of their text.
+
+Defined results: null and empty texts have no words; texts under ``window`` words keep all. Windows
+that only rows of equal id, or without one, share stay. Repeated rows are rows like any other. An
+empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from dataclasses import dataclass
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -101,13 +105,19 @@ def covered_by(starts: np.ndarray, width: int, count: int) -> np.ndarray:
 
 
 def _rows(parts: list[tuple[int | None, int, np.ndarray]]) -> Lists:
-    """``hash, doc, k`` rows from ``(doc_id, k, hashes)`` of documents; equal hashes of one once."""
-    parts = [(LAST if doc is None else doc, k, np.unique(h)) for doc, k, h in parts]
+    """``hash, doc, alone`` rows from ``(doc_id, k, hashes)`` of documents; equal hashes of one once.
+
+    ``alone`` is ``k`` of a row without an id and null elsewhere, where ``k`` is the id: a column of
+    nulls takes next to nothing in a shuffle of one row for each hash.
+    """
+    parts = [(doc, k, np.unique(h)) for doc, k, h in parts]
     sizes = [len(h) for _, _, h in parts]
+    named = np.repeat(np.array([doc is not None for doc, _, _ in parts], bool), sizes)
+    k = np.repeat(np.array([k for _, k, _ in parts], np.int64), sizes)
     return {
         "hash": np.concatenate([h for _, _, h in parts] or [np.zeros(0, np.int64)]),
-        "doc": np.repeat(np.array([doc for doc, _, _ in parts], np.int64), sizes),
-        "k": np.repeat(np.array([k for _, k, _ in parts], np.int64), sizes),
+        "doc": np.where(named, k, LAST),
+        "alone": pa.array(k, pa.int64(), mask=named),
     }
 
 
@@ -119,7 +129,7 @@ def _compared(rows: DataFrame, smaller_only: bool) -> DataFrame:
         kept = kept.filter("low < doc")
     else:
         kept = kept.withColumn("high", F.max("doc").over(same)).filter("low < high")
-    return kept.groupBy("k").agg(F.collect_set("hash").alias("hashes"))
+    return kept.groupBy(F.coalesce("alone", "doc").alias("k")).agg(F.collect_set("hash").alias("hashes"))
 
 
 def remove_repeats(
@@ -132,7 +142,7 @@ def remove_repeats(
     """``doc_id, n_words, n_removed, kept_sha256`` and, if wanted, ``kept``: what is left, joined by spaces."""
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
-        F.xxhash64(F.col(id_col).cast("long"), text_col).alias("k"),
+        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("k"),
         F.col(text_col).alias("text"),
     )
 
@@ -180,7 +190,7 @@ def remove_repeats(
                     out["kept"].append(kept.decode("utf-8", "surrogatepass"))
             yield out
 
-    hashed = "hash long, doc long, k long"
+    hashed = "hash long, doc long, alone long"
     shared = _compared(map_lists(texts, anchors, hashed), smaller_only=False)
     # both joins deal the texts out by k, so they read one exchange
     candidates = map_lists(texts.join(shared, "k").select("doc_id", "k", "text", "hashes"), windows, hashed)
