@@ -50,6 +50,8 @@ _RUN = re.compile(r"(.)\1+")
 # \S apart, with its neighbours: "s t u p i d"
 _SPACED = re.compile(r"(?<!\S)\S(?:\s{1,3}\S){3,}(?!\S)")
 _CACHED = 1 << 17
+# Characters that are counted at once: numbers of several bytes for each are held.
+_COUNTED_AT_ONCE = 1 << 20
 
 
 def letter_class(c: str) -> int:
@@ -70,7 +72,14 @@ def corpus_trigrams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(batches: Iterator[Lists]) -> Iterator[Lists]:
         total = np.zeros(SIZE**3, np.int64)
         for b in batches:
-            total += trigram_counts(b["text"])
+            part, held = [], 0
+            for text in b["text"]:
+                part.append(text)
+                held += len(text or "")
+                if held >= _COUNTED_AT_ONCE:
+                    total += trigram_counts(part)
+                    part, held = [], 0
+            total += trigram_counts(part)
         at = np.flatnonzero(total)
         yield {"gram": at, "n": total[at]}
 
