@@ -43,6 +43,8 @@ _TABLE = np.array([_CLASS.get(chr(c), OTHER if chr(c).isalpha() else 0) for c in
 
 # Costs of the channel, as log probabilities.
 IMITATED, DROPPED_REPEAT, DROPPED_GAP, KEPT_GAP, KEPT_OTHER = -1.5, -1.0, -0.5, -1.5, -8.0
+# A sign that may be a letter is not passed over as lightly as a dot.
+DROPPED_SIGN = -5.0
 
 _EDGE = re.compile(r"^[^\w$@]+|[^\w$@]+$|^([$@])\1{2,}|([$@])\2{2,}$")
 _LONG_RUN = re.compile(r"(.)\1\1")
@@ -123,8 +125,8 @@ class Decoder:
                         offer((a, b), score + cost + DROPPED_REPEAT, text)
                 if not letter:
                     if not c.isdigit():
-                        offer((a, b), score + DROPPED_GAP, text)
-                    gap = KEPT_GAP if not c.isdigit() else KEPT_OTHER
+                        offer((a, b), score + (DROPPED_SIGN if emits else DROPPED_GAP), text)
+                    gap = KEPT_OTHER if c.isdigit() else DROPPED_SIGN if emits else KEPT_GAP
                     if b:
                         offer((b, 0), score + gap + log[(a * SIZE + b) * SIZE], text + " ")
                     else:
