@@ -15,6 +15,8 @@ def epoch_plan(
 
     Pass narrow rows: they are repeated once per epoch and shuffled by their hash range.
     """
+    if epochs < 1:
+        raise ValueError("epochs must be at least 1")
     repeated = examples.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     seed = F.concat_ws("/", F.lit(params.seed), F.col("epoch"))
     sizes = {epoch: None for epoch in range(epochs)}

@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from quillprep.operators import sampling
 
@@ -60,6 +60,28 @@ def test_empty_input(spark):
     assert sampling.sample_exact(rows_of(spark, 0), 10).count() == 0
 
 
+def test_no_seed_meets_a_wide_range(spark):
+    total, n = 2_000_000, 500_000
+    rows = spark.range(total).withColumn("split", F.lit("s"))
+    hashed = rows.withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(19)))).withColumn(
+        "_hash", sampling.order_hash(F.col("seed").cast("string"), F.col("id"))
+    )
+    ranged = hashed.withColumn("_range", sampling._range_number("split", {"s": total}, {"s": n}))
+    counts = ranged.groupBy("seed", "_range").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy("seed").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    reached = counts.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0))).filter(F.col("start") < n)
+    largest = reached.groupBy("seed").agg(F.max("rows").alias("rows")).collect()
+    assert len(largest) == 20 and max(r.rows for r in largest) < 2 * sampling.ROWS_PER_RANGE
+
+
+def test_kept_keys_are_checked_on_the_way(spark):
+    twice = rows_of(spark, 200).unionByName(rows_of(spark, 200))
+    with pytest.raises(Exception, match="does not identify"):
+        sampling.assign_positions(twice, {"train": 50}, check_keys=True).collect()
+    good = sampling.assign_positions(rows_of(spark, 200), {"train": 50}, check_keys=True).collect()
+    assert {r.id: r["index"] for r in good} == expected([str(i) for i in range(200)], 42, 50)
+
+
 def test_prefix(spark):
     rows = sampling.sample_exact(rows_of(spark, 20), 20)
     assert sampling.index_prefix(rows, 5).count() == 5
