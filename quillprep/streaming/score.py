@@ -1,4 +1,8 @@
-"""Incremental scoring with resume: each micro-batch owns one folder, so a replay replaces it."""
+"""Incremental scoring: one record for each key, in the folder of the micro-batch it came with.
+
+Which keys have come is kept in the query's state, so a micro-batch reads nothing that was scored
+before. The state lives in the checkpoint: output path and checkpoint belong together.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quillprep.operators.runs import remaining
+from quillprep.operators.runs import RECORD_KEY
 from quillprep.operators.scoring import score_records
 from quillprep.params import EvalParams
 from quillprep.sources.results import RECORD_SCHEMA
@@ -25,21 +29,22 @@ def read_scored(spark: SparkSession, path: str) -> DataFrame:
 
 
 def score_batch(batch: DataFrame, batch_id: int, path: str, params: EvalParams) -> None:
-    """Score what no other micro-batch has scored, into the batch's own folder.
-
-    That folder does not count as done: a replay after a crash writes it again in full.
-    """
-    earlier = read_scored(batch.sparkSession, path).filter(F.col("batch_id") != batch_id)
-    records = score_records(remaining(batch, earlier), params)
+    """Score a micro-batch into its own folder; a replay after a crash writes it again in full."""
+    records = score_records(batch, params)
     records.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def start_score(
     predicted: DataFrame, path: str, checkpoint: str, params: EvalParams
 ) -> StreamingQuery:
-    """Score arriving ``run_id, index, prediction, reference`` rows not scored before, then stop."""
+    """Score arriving ``run_id, index, prediction, reference`` rows, then stop.
+
+    One row for each ``run_id, index`` is scored: of those in the first micro-batch that has the
+    key, the state keeps one, and later ones are dropped.
+    """
     return (
-        predicted.writeStream.foreachBatch(lambda b, n: score_batch(b, n, path, params))
+        predicted.dropDuplicates(RECORD_KEY)
+        .writeStream.foreachBatch(lambda b, n: score_batch(b, n, path, params))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

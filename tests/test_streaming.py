@@ -40,11 +40,12 @@ def test_score_skips_scored_and_replays_whole_batches(spark, tmp_path):
     want = sorted(tuple(r) for r in read_scored(spark, out).collect())
     assert sorted(r[1] for r in want) == list(range(9))
     # a crash before the commit runs the last batch again
-    score_batch(spark.read.schema(RECORD).parquet(src).filter("index >= 4"), 1, out, SCORE)
+    score_batch(spark.read.schema(RECORD).parquet(src).filter("index >= 6"), 1, out, SCORE)
     assert sorted(tuple(r) for r in read_scored(spark, out).collect()) == want
-    # all files in one batch: the same records
+    # all files in one batch: the same records, each once
     start_score(rows, second, str(tmp_path / "state2"), SCORE).awaitTermination()
-    assert read_scored(spark, second).select("index").distinct().count() == 9
+    once = read_scored(spark, second).drop("batch_id").collect()
+    assert sorted(tuple(r) for r in once) == sorted(r[:-1] for r in want)
 
 
 def test_nothing_scored_yet(spark, tmp_path):
