@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from quillprep.params import ROUGE_TYPES
+
 RECORD_KEY = ["run_id", "index"]
 
 
@@ -13,19 +15,13 @@ def remaining(todo: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def latest_records(records: DataFrame) -> DataFrame:
-    """One record per example: that of the highest attempt.
+    """One record per example: that of the highest attempt; an attempt has one record.
 
-    A maximum over structs combines before the shuffle, so many attempts at one example do not
-    gather in one task.
+    Only keys and attempts are aggregated, by hash and combining before the shuffle; texts are
+    neither sorted nor compared.
     """
-    rest = [c for c in records.columns if c not in (*RECORD_KEY, "attempt")]
-    best = F.max(F.struct("attempt", *rest)).alias("_best")
-    return (
-        records.groupBy(*RECORD_KEY)
-        .agg(best)
-        .select(*RECORD_KEY, "_best.*")
-        .select(*records.columns)
-    )
+    best = records.groupBy(*RECORD_KEY).agg(F.max("attempt").alias("attempt"))
+    return records.join(best, [*RECORD_KEY, "attempt"]).select(*records.columns)
 
 
 def merge_records(done: DataFrame, new: DataFrame) -> DataFrame:
@@ -34,8 +30,9 @@ def merge_records(done: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def progress(records: DataFrame, target: int) -> DataFrame:
-    """``completed, target``: distinct finished examples within the target."""
-    finished = records.filter(F.col("index") < target).select(*RECORD_KEY).distinct()
-    return finished.agg(F.count("*").alias("completed")).withColumn(
-        "target", F.lit(target).cast("bigint")
+    """``completed, target`` and the mean scores so far, of one record per finished example."""
+    finished = records.filter(F.col("index") < target)
+    means = [F.avg(F.col("scores")[k]).alias(k) for k in ROUGE_TYPES]
+    return finished.agg(F.count("*").alias("completed"), *means).select(
+        "completed", F.lit(target).cast("bigint").alias("target"), *ROUGE_TYPES
     )

@@ -71,6 +71,7 @@ class PrepParams:
     vocab_size: int = 5_000
     max_len: int = MAX_SEQ_LENGTH
     max_target: int = MAX_TARGET_LENGTH
+    eos_id: int = 2
     pad_id: int | None = None
     cut: str = "prompt"
     batch_size: int = BATCH_SIZE
@@ -105,7 +106,7 @@ class EvalParams:
     rouge_types: tuple[str, ...] = ROUGE_TYPES
     use_stemmer: bool = True
     pattern: str = "english"
-    slices: int = 8
+    rows_per_commit: int = 100_000
 
     def __post_init__(self) -> None:
         unknown = [r for r in self.rouge_types if r not in ROUGE_TYPES]
@@ -113,5 +114,5 @@ class EvalParams:
             raise ValueError(f"rouge_types must be a non-empty subset of {ROUGE_TYPES}")
         if self.pattern not in SCORE_PATTERNS:
             raise ValueError(f"pattern must be one of {sorted(SCORE_PATTERNS)}")
-        if self.num_samples < 0 or self.max_new_tokens < 0 or self.slices < 1:
-            raise ValueError("num_samples and max_new_tokens must be >= 0, slices >= 1")
+        if self.num_samples < 0 or self.max_new_tokens < 0 or self.rows_per_commit < 1:
+            raise ValueError("num_samples, max_new_tokens must be >= 0, rows_per_commit >= 1")

@@ -7,11 +7,12 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quillprep.functions.text import article_of
+from quillprep.functions.text import article_of, fill_template
 from quillprep.operators.runs import latest_records, progress, remaining
 from quillprep.operators.sampling import index_prefix
 from quillprep.operators.scoring import lead_prediction, mean_scores, score_records
 from quillprep.params import INSTRUCTION_TEMPLATE, SPOT_CHECK_SAMPLES, EvalParams
+from quillprep.session import cut_lineage
 from quillprep.sources.results import append_results, read_results
 
 Predictor = Callable[[Column], Column]
@@ -24,10 +25,16 @@ def run_records(spark: SparkSession, path: str, run_id: str, n: int) -> DataFram
 
 
 def lead_baseline(params: EvalParams, template: str = INSTRUCTION_TEMPLATE) -> Predictor:
-    """The default predictor: the article's first ``max_new_tokens`` scoring tokens."""
+    """The default predictor: the article's first ``max_new_tokens`` scoring tokens.
+
+    The job fails on a prompt that was not made from ``template``.
+    """
 
     def predict(prompt: Column) -> Column:
         article = article_of(prompt, template)
+        fits = article.isNotNull() & (fill_template(template, article) == prompt)
+        fault = F.raise_error(F.lit("a prompt does not come from the given template; pass its own"))
+        article = F.when(fits, article).otherwise(fault.cast("string"))
         return lead_prediction(article, params.max_new_tokens, params.pattern)
 
     return predict
@@ -45,7 +52,7 @@ def run_scores(spark: SparkSession, path: str, run_id: str, n: int) -> DataFrame
 
 
 def check_progress(spark: SparkSession, path: str, run_id: str, params: EvalParams) -> DataFrame:
-    """``completed, target`` of a run; safe while it is running."""
+    """``completed, target`` and mean scores so far of a run; safe while it is running."""
     records = run_scores(spark, path, run_id, params.num_samples)
     return progress(records, params.num_samples)
 
@@ -57,16 +64,20 @@ def evaluate_run(
     predictor: Predictor | None = None,
     params: EvalParams = EvalParams(),
     resume: bool = True,
+    template: str = INSTRUCTION_TEMPLATE,
 ) -> DataFrame:
     """Score the first ``num_samples`` of ``index, prompt, target`` and return the mean scores.
 
-    Work is committed slice by slice along ``index``; a killed run goes on after its last slice.
-    ``resume=False`` scores everything again as a further attempt. Every slice reads ``examples``
-    again: pass a written table.
+    ``predictor`` gets the column ``prompt``; render chat turns into it first where the model wants
+    them (``with_prompt_text``). Without one, the article's lead is taken, by ``template``.
+
+    What is left to do is written once; then ``rows_per_commit`` rows along ``index`` are scored and
+    committed at a time, and a killed run goes on after its last commit. ``resume=False`` scores
+    everything again as a further attempt.
     """
     spark = examples.sparkSession
     n = params.num_samples
-    predictor = predictor or lead_baseline(params)
+    predictor = predictor or lead_baseline(params, template)
     todo = index_prefix(examples, n).withColumn("run_id", F.lit(run_id))
     done = run_scores(spark, path, run_id, n)
     attempt = 0
@@ -75,10 +86,11 @@ def evaluate_run(
     else:
         earlier = done.agg(F.max("attempt")).head()[0]
         attempt = 0 if earlier is None else earlier + 1
+    todo = cut_lineage(todo.select("run_id", "index", "prompt", "target"))
     bounds = todo.agg(F.min("index"), F.max("index")).head()
     if bounds[0] is not None:
         first, last = bounds
-        width = -(-(last - first + 1) // params.slices)
+        width = params.rows_per_commit
         for start in range(first, last + 1, width):
             part = todo.filter(F.col("index").between(start, start + width - 1))
             predicted = part.select(
@@ -100,7 +112,7 @@ def evaluate_checkpoint(
     params: EvalParams = EvalParams(),
 ) -> DataFrame:
     """Spot check of a named checkpoint on a prefix of the test examples."""
-    spot_check = replace(params, num_samples=num_samples, slices=1)
+    spot_check = replace(params, num_samples=num_samples)
     return evaluate_run(examples, checkpoint_name, path, predictor, spot_check)
 
 

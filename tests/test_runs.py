@@ -11,7 +11,7 @@ from quillprep.params import EvalParams, PrepParams
 from quillprep.plans import evaluate
 from quillprep.sources.results import append_results, read_results
 
-PARAMS = EvalParams(num_samples=20, use_stemmer=False, slices=2)
+PARAMS = EvalParams(num_samples=20, use_stemmer=False, rows_per_commit=9)
 
 
 def examples(spark, n=25):
@@ -53,9 +53,8 @@ def test_resume_after_any_loss_gives_the_same_table(spark, tmp_path):
 def test_fewer_than_stored_and_fewer_than_asked(spark, tmp_path):
     path = str(tmp_path / "r")
     evaluate.evaluate_run(examples(spark, 5), "r", path, echo, PARAMS)
-    assert evaluate.check_progress(spark, path, "r", PARAMS).head().asDict() == {
-        "completed": 5, "target": 20,
-    }
+    got = evaluate.check_progress(spark, path, "r", PARAMS).head()
+    assert (got.completed, got.target) == (5, 20) and got.rouge1 == pytest.approx(0.5)
     small = replace(PARAMS, num_samples=3)
     assert evaluate.check_progress(spark, path, "r", small).head().completed == 3
 
@@ -82,6 +81,11 @@ def test_default_predictor_leads_with_the_article(spark, tmp_path):
     assert {r.prediction for r in records} == {"one two three"}
     with pytest.raises(ValueError):
         article_of(F.col("prompt"), "{article} {article}")
+    other = "TL;DR of:\n{article}\nAnswer briefly."
+    pairs = prompt_target_pairs(rows, PrepParams(instruction_template=other))
+    with pytest.raises(Exception, match="does not come from the given template"):
+        evaluate.evaluate_run(pairs, "wrong", path, params=params)
+    assert evaluate.evaluate_run(pairs, "right", path, params=params, template=other).head().rougeL == 1.0
 
 
 def test_checkpoints_are_compared(spark, tmp_path):
