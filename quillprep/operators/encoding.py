@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quillprep.functions.text import MARKER_PATTERN
 from quillprep.operators.vocabulary import RESERVED, UNK_ID, Lookup, broadcast_lookup
+from quillprep.session import cut_lineage
 
 IDS = T.ArrayType(T.IntegerType())
 
@@ -24,13 +25,20 @@ def _like(lists: pa.Array, values: pa.Array) -> pa.Array:
 
 
 def lookup_ids(tokens: Column, lookup: Lookup) -> Column:
-    """Ids of a token array through a broadcast vocabulary: no shuffle, a batch at a time."""
+    """Ids of a token array through a broadcast vocabulary: no shuffle, a batch at a time.
+
+    The index is built once a task, and asked once for each distinct token of a batch.
+    """
     known = lookup.tokens
 
     @F.arrow_udf(IDS)
-    def ids_of(lists: pa.Array) -> pa.Array:
-        ids = pc.index_in(lists.flatten(), value_set=known.value)
-        return _like(lists, pc.fill_null(ids, UNK_ID))
+    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = {token: number for number, token in enumerate(known.value.to_pylist())}
+        for lists in batches:
+            flat = lists.flatten().dictionary_encode()
+            ids = [index.get(token, UNK_ID) for token in flat.dictionary.to_pylist()]
+            found = pa.array(ids, pa.int32()).take(flat.indices)
+            yield _like(lists, pc.fill_null(found, UNK_ID))
 
     return ids_of(tokens)
 
@@ -40,17 +48,43 @@ def join_ids(
 ) -> DataFrame:
     """The same for a vocabulary too large to broadcast: join each token, regroup by row.
 
-    AQE splits the partitions of frequent tokens. Rows without tokens keep an empty array.
+    All columns are exploded together, so there is one join with the vocabulary and one with the
+    rows, which are written first and computed once. AQE splits the partitions of frequent tokens.
+    Rows without tokens keep an empty array.
+    """
+    rows = cut_lineage(rows)
+    return _joined_lists(rows, vocabulary, columns, key, "token", F.coalesce("token_id", F.lit(UNK_ID)), IDS)
+
+
+def _joined_lists(
+    rows: DataFrame,
+    vocabulary: DataFrame,
+    columns: dict[str, str],
+    key: list[str],
+    by: str,
+    value: Column,
+    kind: T.ArrayType,
+) -> DataFrame:
+    """Replace each element of array columns by ``value`` of the vocabulary row it meets on ``by``.
+
+    Elements for which ``value`` is null are left out.
     """
-    empty = F.array().cast(IDS)
-    pair = F.struct("_pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("token_id"))
-    for source, target in columns.items():
-        tokens = rows.select(*key, F.posexplode_outer(source).alias("_pos", "token"))
-        ids = tokens.filter(F.col("_pos").isNotNull()).join(vocabulary, "token", "left")
-        ordered = F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["token_id"])
-        grouped = ids.groupBy(*key).agg(ordered.alias(target))
-        rows = rows.join(grouped, key, "left").withColumn(target, F.coalesce(target, empty))
-    return rows
+
+    def elements(number: int, source: str) -> Column:
+        return F.transform(source, lambda x, i: F.struct(F.lit(number).alias("_col"), i.alias("_pos"), x.alias(by)))
+
+    lists = [F.coalesce(elements(n, source), F.array()) for n, source in enumerate(columns)]
+    tagged = F.explode(F.concat(*lists))
+    each = rows.select(*key, tagged.alias("_e")).select(*key, "_e.*")
+    met = each.join(vocabulary, by, "left").withColumn("_value", value)
+    met = met.filter(F.col("_value").isNotNull())
+    pairs = lambda n: F.array_sort(F.collect_list(F.when(F.col("_col") == n, F.struct("_pos", "_value"))))
+    lists = [
+        F.transform(pairs(n), lambda x: x["_value"]).alias(target) for n, target in enumerate(columns.values())
+    ]
+    grouped = met.groupBy(*key).agg(*lists)
+    empty = {target: F.coalesce(target, F.array().cast(kind)) for target in columns.values()}
+    return rows.join(grouped, key, "left").withColumns(empty)
 
 
 def encode(
@@ -70,20 +104,50 @@ def decode_ids(ids: Column, lookup: Lookup) -> Column:
     known = lookup.tokens
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
-    def tokens_of(lists: pa.Array) -> pa.Array:
-        return _like(lists, known.value.take(lists.flatten()))
+    def tokens_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # special tokens are null in the table, and array_join passes nulls over
+        special = pc.match_substring_regex(known.value, f"^(?:{MARKER_PATTERN})$")
+        special = pc.or_(special, pc.is_in(known.value, value_set=pa.array(RESERVED)))
+        plain = pc.if_else(special, pa.scalar(None, pa.string()), known.value)
+        for lists in batches:
+            yield _like(lists, plain.take(lists.flatten()))
+
+    return F.array_join(tokens_of(ids), " ")
+
 
-    special = lambda t: t.rlike(f"^(?:{MARKER_PATTERN})$") | t.isin(*RESERVED)
-    return F.array_join(F.filter(tokens_of(ids), lambda t: ~special(t)), " ")
+def join_text(
+    rows: DataFrame, vocabulary: DataFrame, columns: dict[str, str], key: list[str]
+) -> DataFrame:
+    """Decoding for a vocabulary too large to broadcast: join each id, regroup by row."""
+    token = F.col("token")
+    plain = F.when(~(token.rlike(f"^(?:{MARKER_PATTERN})$") | token.isin(*RESERVED)), token)
+    texts = T.ArrayType(T.StringType())
+    joined = _joined_lists(cut_lineage(rows), vocabulary, columns, key, "token_id", plain, texts)
+    return joined.withColumns({target: F.array_join(target, " ") for target in columns.values()})
 
 
-def custom_tokenizer(factory: Callable[[], Callable[[str], list[int]]]) -> Callable:
-    """Column function from text to ids by the caller's tokenizer, built once per task."""
+def decode(
+    rows: DataFrame, vocabulary: DataFrame, columns: dict[str, str], key: list[str]
+) -> DataFrame:
+    """Replace id-array columns by texts, whatever the vocabulary's size."""
+    lookup = broadcast_lookup(rows.sparkSession, vocabulary)
+    if lookup is None:
+        return join_text(rows, vocabulary, columns, key).drop(*columns)
+    return rows.withColumns(
+        {target: decode_ids(F.col(source), lookup) for source, target in columns.items()}
+    ).drop(*columns)
+
+
+def custom_tokenizer(factory: Callable[[], Callable[[list[str]], list[list[int]]]]) -> Callable:
+    """Column function from text to ids by the caller's tokenizer, built once per task.
+
+    The tokenizer gets the texts of a batch and returns their ids, a list for each text.
+    """
 
     @F.pandas_udf(IDS)
     def encode_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenize = factory()
         for texts in batches:
-            yield texts.map(tokenize)
+            yield pd.Series(list(tokenize(texts.tolist())), dtype=object)
 
     return encode_text

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quillprep.functions import arrays, text
 from quillprep.operators.encoding import encode
 from quillprep.operators.pairs import with_prompt_text
-from quillprep.operators.vocabulary import EOS_ID
 from quillprep.params import PrepParams, template_parts
 
 
@@ -21,18 +20,26 @@ def with_tokens(pairs: DataFrame, params: PrepParams) -> DataFrame:
     )
 
 
-def _cut_article(tokens: Column, params: PrepParams) -> Column:
-    """Shorten the article alone: keep the tokens after it, cut before them."""
+def _tail(params: PrepParams) -> str:
+    """What follows the article in a rendered prompt."""
     after = template_parts(params.instruction_template)[-1] or ""
     chat = params.chat
-    tail = after + chat.close + chat.open_left + chat.assistant_role + chat.open_right
-    keep = F.size(text.token_strings(F.lit(tail)))
+    return after + chat.close + chat.open_left + chat.assistant_role + chat.open_right
+
+
+def _cut_article(tokens: Column, params: PrepParams) -> Column:
+    """Shorten the article alone: keep the tokens after it, cut before them.
+
+    Fails, saying so, where the budget does not hold the tokens after the article.
+    """
+    keep = F.size(text.token_strings(F.lit(_tail(params))))
     budget = F.lit(params.max_len - params.max_target)
     n = F.size(tokens)
     shortened = F.concat(
         F.slice(tokens, F.lit(1), budget - keep), F.slice(tokens, n - keep + 1, keep)
     )
-    return F.when(n <= budget, tokens).otherwise(shortened)
+    fault = F.raise_error("the prompt budget is shorter than what follows the article")
+    return F.when(n <= budget, tokens).when(keep <= budget, shortened).otherwise(fault.cast("array<string>"))
 
 
 def cut_prompt(tokens: Column, params: PrepParams) -> Column:
@@ -61,17 +68,32 @@ def encode_examples(
 
 def cut_targets(encoded: DataFrame, params: PrepParams) -> DataFrame:
     """Close each target with the end token, within the room its prompt left."""
-    cut = arrays.cut_target(F.col("target_ids"), F.col("prompt_ids"), EOS_ID, params.max_len)
+    cut = arrays.cut_target(F.col("target_ids"), F.col("prompt_ids"), params.eos_id, params.max_len)
     return encoded.withColumn("target_ids", cut)
 
 
 def pack(examples: DataFrame, params: PrepParams) -> DataFrame:
     """``prompt_ids, target_ids`` to ``input_ids, attention_mask, labels`` of ``max_len``."""
     prompt, target = F.col("prompt_ids"), F.col("target_ids")
-    pad = arrays.resolve_pad(params.pad_id, EOS_ID)
+    pad = arrays.resolve_pad(params.pad_id, params.eos_id)
     return examples.select(
         *[c for c in examples.columns if c not in ("prompt_ids", "target_ids")],
         arrays.pack_ids(prompt, target, pad, params.max_len).alias("input_ids"),
         arrays.attention_mask(prompt, target, params.max_len).alias("attention_mask"),
         arrays.label_ids(prompt, target, params.max_len).alias("labels"),
     )
+
+
+def tokenize_pairs(pairs: DataFrame, tokenize, params: PrepParams) -> DataFrame:
+    """Pairs to ``prompt_ids, target_ids`` by a caller's column function from text to ids.
+
+    Cut, end token and padding follow ``params``: give the model's own ``eos_id`` and ``pad_id``.
+    """
+    rendered = with_prompt_text(pairs, params)
+    encoded = rendered.select(
+        *[c for c in pairs.columns if c not in ("prompt", "target")],
+        tokenize(F.col("prompt_text")).alias("prompt_ids"),
+        tokenize(F.col("target")).alias("target_ids"),
+    )
+    short = encoded.withColumn("prompt_ids", arrays.cut_prompt(F.col("prompt_ids"), params.max_len, params.max_target))
+    return cut_targets(short, params)

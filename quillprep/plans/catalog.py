@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import sys
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quillprep.functions import arrays, rouge, text
 from quillprep.operators import audit, epochs, packing, runs, sampling, scoring
-from quillprep.operators.encoding import custom_tokenizer, decode_ids, encode, lookup_ids
+from quillprep.operators.encoding import (
+    custom_tokenizer,
+    decode_ids,
+    encode,
+    join_ids,
+    join_text,
+    lookup_ids,
+)
 from quillprep.operators.pairs import (
     prompt_target_pairs,
     render_conversations,
@@ -14,7 +24,8 @@ from quillprep.operators.pairs import (
 )
 from quillprep.operators.vocabulary import EOS_ID, broadcast_lookup
 from quillprep.params import SPLITS, ChatFormat, EvalParams, PrepParams
-from quillprep.plans.prepare import fit_vocabulary
+from quillprep.plans import evaluate
+from quillprep.plans.prepare import fit_vocabulary, prepare_training_set
 from quillprep.session import cut_lineage, scratch_path
 from quillprep.sources import export, results, splits, tables
 from quillprep.streaming.prepare import start_prepare
@@ -195,14 +206,76 @@ def truncation_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 def decode(spark: SparkSession, sf: str) -> DataFrame:
     tokenized = _tokenized(spark, sf)
-    lookup = broadcast_lookup(spark, fit_vocabulary(tokenized, PREP))
+    vocabulary = fit_vocabulary(tokenized, PREP)
+    lookup = broadcast_lookup(spark, vocabulary)
+    if lookup is None:
+        return decode_joined(spark, sf)
     ids = lookup_ids(F.col("target_tokens"), lookup)
     closed = tokenized.select("id", F.concat(ids, F.array(F.lit(EOS_ID))).alias("ids"))
     return closed.select("id", decode_ids(F.col("ids"), lookup).alias("decoded"))
 
 
+def decode_joined(spark: SparkSession, sf: str) -> DataFrame:
+    tokenized = _tokenized(spark, sf)
+    vocabulary = fit_vocabulary(tokenized, PREP)
+    names = {"target_tokens": "target_ids"}
+    ids = join_ids(tokenized.select("id", "target_tokens"), vocabulary, names, ["id"])
+    closed = ids.select("id", F.concat("target_ids", F.array(F.lit(EOS_ID))).alias("ids"))
+    return join_text(closed, vocabulary, {"ids": "decoded"}, ["id"]).select("id", "decoded")
+
+
+def tokenize_joined(spark: SparkSession, sf: str) -> DataFrame:
+    tokenized = _tokenized(spark, sf)
+    vocabulary = fit_vocabulary(tokenized, PREP)
+    names = {"prompt_tokens": "prompt_ids", "target_tokens": "target_ids"}
+    joined = join_ids(tokenized, vocabulary, names, ["id"])
+    return joined.select("id", _joined("prompt_ids"), _joined("target_ids"))
+
+
+def truncate_article(spark: SparkSession, sf: str) -> DataFrame:
+    params = replace(PREP, cut="article")
+    tokenized = packing.with_tokens(_pairs(spark, sf), params)
+    vocabulary = fit_vocabulary(tokenized, params)
+    return packing.encode_examples(tokenized, vocabulary, params, ["id"]).select("id", _joined("prompt_ids"))
+
+
 def _word_lengths():
-    return lambda content: [len(word) for word in content.split()]
+    return lambda texts: [[len(word) for word in text.split()] for text in texts]
+
+
+def caller_tokenizer_packed(spark: SparkSession, sf: str) -> DataFrame:
+    params = replace(PREP, eos_id=7)  # no pad id: padding falls back on the end token
+    examples = packing.tokenize_pairs(_pairs(spark, sf), custom_tokenizer(_word_lengths), params)
+    return packing.pack(examples, params).select(
+        "id", _joined("input_ids"), _joined("attention_mask"), _joined("labels")
+    )
+
+
+def prepare_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole preparation: CSV splits to an ordered training set, small files."""
+    pairs = tables.all_pairs(spark, sf).select("split", "id", "article", "highlights")
+    raw, path = scratch_path(spark, "splits"), scratch_path(spark, "training-set")
+    for name in SPLITS:
+        splits.write_csv(pairs.filter(F.col("split") == name).drop("split"), f"{raw}/{name}")
+    params = replace(PREP, split_sizes=dict.fromkeys(SPLITS))
+    loaded = splits.load_splits(spark, {name: f"{raw}/{name}" for name in SPLITS}, params)
+    prepare_training_set(loaded, path, params, rows_per_file=100)
+    written = spark.read.parquet(path)
+    place = F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    earlier = F.lag("index", 1, -1).over(Window.partitionBy("split").orderBy(place))
+    total = lambda c: F.sum(F.aggregate(c, F.lit(0), lambda a, x: a + x))
+    return (
+        written.withColumn("_next", F.col("index") == earlier + 1)
+        .withColumn("_file", F.col("_metadata.file_name"))
+        .groupBy("split")
+        .agg(
+            F.count("*").alias("examples"),
+            F.count_distinct("_file").alias("files"),
+            F.every("_next").alias("in_order"),
+            total("attention_mask").cast("bigint").alias("used_tokens"),
+            total("input_ids").cast("bigint").alias("id_sum"),
+        )
+    )
 
 
 def caller_tokenizer(spark: SparkSession, sf: str) -> DataFrame:
@@ -249,6 +322,11 @@ def _indexed(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.assign_positions(whole, {"eval": None}, "set", "id", PREP.seed).drop("set")
 
 
+def _indexed_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    whole = _pairs(spark, sf).select("id", "prompt", "target").withColumn("set", F.lit("eval"))
+    return sampling.assign_positions(whole, {"eval": None}, "set", "id", PREP.seed).drop("set")
+
+
 def _predicted(pairs: DataFrame, n: int) -> DataFrame:
     lead = scoring.lead_prediction(F.col("article"), n, SCORE.pattern)
     return pairs.withColumn("prediction", lead).withColumn("run_id", F.lit(f"lead-{n}"))
@@ -315,32 +393,61 @@ def rouge_mean_stemmed(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(scoring.mean_scores(scored))
 
 
+TEMPLATE = "TL;DR of:\n{article}\nAnswer briefly."
+
+
+def generate_lead_template(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = prompt_target_pairs(tables.all_pairs(spark, sf), replace(PREP, instruction_template=TEMPLATE))
+    predict = evaluate.lead_baseline(SCORE, TEMPLATE)
+    return pairs.select("id", predict(F.col("prompt")).alias("prediction"))
+
+
 def _done(records: DataFrame) -> DataFrame:
     return records.filter(F.col("index") % 3 == 0)
 
 
 def eval_progress(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.progress(_done(_lead_records(spark, sf, LEAD)), EVAL_TARGET)
+    path = scratch_path(spark, "results")
+    results.append_results(_done(_lead_records(spark, sf, LEAD)), path)
+    params = replace(SCORE, num_samples=EVAL_TARGET)
+    return _rounded(evaluate.check_progress(spark, path, f"lead-{LEAD}", params))
 
 
 def eval_resume_todo(spark: SparkSession, sf: str) -> DataFrame:
-    predicted = _predicted(_indexed(spark, sf), LEAD)
-    done = _done(scoring.score_records(predicted, SCORE))
+    path = scratch_path(spark, "results")
+    predicted = cut_lineage(_predicted(_indexed(spark, sf), LEAD))
+    results.append_results(_done(scoring.score_records(predicted, SCORE)), path)
+    done = results.read_results(spark, path)
     return runs.remaining(predicted.select("run_id", "index", "id"), done)
 
 
+def evaluate_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """A run whose first third is in the store already, to its mean scores."""
+    path = scratch_path(spark, "results")
+    pairs = cut_lineage(_indexed_pairs(spark, sf))
+    params = replace(SCORE, num_samples=sys.maxsize, rows_per_commit=50_000)
+    third = pairs.withColumn("run_id", F.lit("lead")).filter(F.col("index") % 3 == 0)
+    predict = evaluate.lead_baseline(params)
+    done = third.select("run_id", "index", predict(F.col("prompt")).alias("prediction"), F.col("target").alias("reference"))
+    results.append_results(scoring.score_records(done, params), path)
+    return _rounded(evaluate.evaluate_run(pairs, "lead", path, params=params))
+
+
 def rouge_by_run(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = _eval_pairs(spark, sf)
-    both = _predicted(pairs, SHORT_LEAD).unionByName(_predicted(pairs, LEAD))
-    return _rounded(scoring.mean_scores(scoring.with_scores(both, SCORE), by=["run_id"]))
+    path = scratch_path(spark, "results")
+    pairs = cut_lineage(_indexed(spark, sf))
+    for n in (SHORT_LEAD, LEAD):
+        results.append_results(scoring.score_records(_predicted(pairs, n), SCORE), path)
+    return _rounded(evaluate.compare_runs(spark, path, SCORE.rouge_types))
 
 
 def eval_merge(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = _indexed(spark, sf)
-    first = scoring.score_records(_predicted(pairs, LEAD), SCORE)
+    path = scratch_path(spark, "results")
+    pairs = cut_lineage(_indexed(spark, sf))
+    results.append_results(scoring.score_records(_predicted(pairs, LEAD), SCORE), path)
     other = _predicted(_done(pairs), SHORT_LEAD).withColumn("run_id", F.lit(f"lead-{LEAD}"))
-    again = scoring.score_records(other, SCORE, attempt=1)
-    return _flat(runs.merge_records(first, again))
+    results.append_results(scoring.score_records(other, SCORE, attempt=1), path)
+    return _flat(runs.latest_records(results.read_results(spark, path)))
 
 
 # streaming
@@ -361,15 +468,23 @@ def stream_prepare(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_score(spark: SparkSession, sf: str) -> DataFrame:
-    docs = tables.pairs_of_documents(_stream(spark, sf, "documents"))
     reference = text.strip_edges(F.col("highlights")).alias("reference")
     index = F.substring("id", 2, 19).cast("bigint").alias("index")
-    rows = _predicted(docs.select(index, "article", reference), LEAD)
-    rows = rows.select("run_id", "index", "prediction", "reference")
-    path, state = scratch_path(spark, "scored"), scratch_path(spark, "state")
-    for _ in range(2):
-        start_score(rows, path, state, SCORE).awaitTermination()
-    return _flat(read_scored(spark, path))
+    landed = scratch_path(spark, "landed")
+    # files whose keys overlap; the stream may take them as one micro-batch or several
+    given = tables.pairs_of_documents(tables.table(spark, sf, "documents"))
+    rows = _predicted(given.select(index, "article", reference), LEAD)
+    rows = cut_lineage(rows.select("run_id", "index", "prediction", "reference"))
+    for keep in ("index % 2 = 0", "index % 3 <> 1", "true"):
+        rows.filter(keep).coalesce(1).write.mode("append").parquet(landed)
+    scored = []
+    for files in (1, 1_000):
+        arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(landed)
+        path, state = scratch_path(spark, "scored"), scratch_path(spark, "state")
+        for _ in range(2):  # the second run finds nothing new
+            start_score(arriving, path, state, SCORE).awaitTermination()
+        scored.append(_flat(read_scored(spark, path)).withColumn("files_a_batch", F.lit(files)))
+    return scored[0].unionByName(scored[1])
 
 
 QUERIES = {
@@ -397,6 +512,13 @@ QUERIES = {
     "fully_masked_count": fully_masked_count,
     "truncation_audit": truncation_audit,
     "decode_ids": decode,
+    "decode_ids_joined": decode_joined,
+    "tokenize_ids_joined": tokenize_joined,
+    "truncate_article": truncate_article,
+    "caller_tokenizer_packed": caller_tokenizer_packed,
+    "prepare_from_csv": prepare_from_csv,
+    "generate_lead_template": generate_lead_template,
+    "evaluate_resumed": evaluate_resumed,
     "drop_prompt": drop_prompt,
     "caller_tokenizer": caller_tokenizer,
     "epoch_plan": epoch_plan,

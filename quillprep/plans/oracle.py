@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 
-from quillprep.functions import porter
-from quillprep.functions.text import MARKER_PATTERN, TOKEN_PATTERN, WS
 from quillprep.params import (
     INSTRUCTION_TEMPLATE,
     MAX_SEQ_LENGTH,
@@ -18,6 +16,25 @@ L, B = MAX_SEQ_LENGTH, MAX_SEQ_LENGTH - MAX_TARGET_LENGTH
 VOCAB_SIZE = 5_000
 WORD = r"[\p{L}\p{N}]+"
 
+# Written out here, so that a fault in the engine's own patterns shows.
+WS = r"[\x20\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+MARKER_PATTERN = r"<\|[a-z_]+\|>"
+TOKEN_PATTERN = MARKER_PATTERN + "|" + WORD + "|[^" + WORD[1:-2] + WS[1:-1] + "]"
+# The suffix tables of Porter (1980), steps 2 to 4.
+STEP_2 = (
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
+    ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
+    ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
+    ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
+)
+STEP_3 = (
+    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", ""),
+)
+STEP_4 = (
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou",
+    "ism", "ate", "iti", "ous", "ive", "ize",
+)
+
 
 def _text(value: str) -> str:
     """A SQL string expression for a text with newlines."""
@@ -200,10 +217,10 @@ STEM_STEPS = [
             THEN replace(k, '#', 'e')
         ELSE left(k, -1) END""",
     f"CASE WHEN k ILIKE '%y' AND {_is('left(k, -1)', V)} THEN left(k, -1) || 'i' ELSE k END",
-    _suffixes(porter.STEP_2, M_OVER_0),
-    _suffixes(porter.STEP_3, M_OVER_0),
+    _suffixes(STEP_2, M_OVER_0),
+    _suffixes(STEP_3, M_OVER_0),
     _suffixes(
-        tuple((old, "") for old in porter.STEP_4),
+        tuple((old, "") for old in STEP_4),
         M_OVER_1,
         f" AND {_is('left(k, -3)', '[st]$')}",
     ),
@@ -286,6 +303,11 @@ def _ids(column: str, name: str | None = None) -> str:
     return f"array_to_string({column}, ',') AS {name or column}"
 
 
+def _lengths(column: str) -> str:
+    """Lengths of the words between whitespace."""
+    return f"[length(w) FOR w IN regexp_split_to_array({_strip(column)}, '{WS}+') IF w <> '']"
+
+
 ORACLE_SQL = {
     "csv_scan": "SELECT doc_id, text FROM documents",
     "split_union": _with("SELECT id, article, highlights, split FROM pairs_docs"),
@@ -391,9 +413,10 @@ ORACLE_SQL = {
         others=STEMMED_DOCUMENTS,
     ),
     "eval_progress": _with(
-        """SELECT count(*) FILTER (index % 3 = 0 AND index < 400) AS completed,
-            400::BIGINT AS target FROM evals"""
+        f"""SELECT count(*) AS completed, 400::BIGINT AS target, {MEANS}
+            FROM scored WHERE index % 3 = 0 AND index < 400"""
     ),
+    "evaluate_resumed": _with(f"SELECT {MEANS} FROM scored"),
     "eval_resume_todo": _with("SELECT run_id, index, id FROM lead WHERE index % 3 <> 0"),
     "rouge_by_run": _with(f"SELECT run_id, {MEANS} FROM scored GROUP BY run_id", BOTH),
     "eval_merge": _with(
@@ -405,10 +428,34 @@ ORACLE_SQL = {
         "SELECT id, split, prompt_text, target FROM rendered WHERE id LIKE 'd%'"
     ),
     "stream_score": _with(
-        f"SELECT {RECORD.format(attempt=0)} FROM scored", "SELECT * FROM lead_stream"
+        f"""SELECT {RECORD.format(attempt=0)}, files_a_batch::INT AS files_a_batch
+            FROM scored, (VALUES (1), (1000)) b(files_a_batch)""",
+        "SELECT * FROM lead_stream",
+    ),
+    "truncate_article": _with(
+        f"""SELECT id, array_to_string(CASE WHEN len(p) <= {B} THEN p
+            ELSE list_concat(p[1:{B} - 2], p[len(p) - 1:]) END, ',') AS prompt_ids FROM enc"""
+    ),
+    "caller_tokenizer_packed": _with(
+        f"""SELECT id, array_to_string(list_concat(p, t, [7 FOR i IN range({L} - len(p) - len(t))]), ',') AS input_ids,
+            array_to_string(list_concat([1 FOR i IN range(len(p) + len(t))],
+                [0 FOR i IN range({L} - len(p) - len(t))]), ',') AS attention_mask,
+            array_to_string(list_concat([-100 FOR i IN range(len(p))], t,
+                [-100 FOR i IN range({L} - len(p) - len(t))]), ',') AS labels
+            FROM (SELECT id, p, list_slice(list_append(t, 7), 1, {L} - len(p)) AS t
+                FROM (SELECT id, list_slice({_lengths('prompt_text')}, 1, {B}) AS p,
+                    {_lengths('target')} AS t FROM rendered))"""
+    ),
+    "prepare_from_csv": _with(
+        """SELECT split, count(*) AS examples, (count(*) + 99) // 100 AS files, TRUE AS in_order,
+            sum(list_sum(attention_mask))::BIGINT AS used_tokens,
+            sum(list_sum(input_ids))::BIGINT AS id_sum FROM packed GROUP BY split"""
     ),
+    "generate_lead_template": _with("SELECT id, prediction FROM lead"),
 }
 ORACLE_SQL["step_token_stats"] = f"""SELECT epoch, position // 16 AS step, count(*) AS examples,
     sum(tl)::BIGINT AS target_tokens, sum(pl)::BIGINT AS prompt_tokens,
     round((count(*) * {L} - sum(pl + tl)) / (count(*) * {L}), 6) AS padding_share
     FROM ({ORACLE_SQL["step_token_stats"]}) GROUP BY ALL"""
+ORACLE_SQL["decode_ids_joined"] = ORACLE_SQL["decode_ids"]
+ORACLE_SQL["tokenize_ids_joined"] = ORACLE_SQL["tokenize_ids"]

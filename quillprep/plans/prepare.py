@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from quillprep.operators import packing
 from quillprep.operators.pairs import prompt_target_pairs
-from quillprep.operators.sampling import require_unique_key, sample_per_split
+from quillprep.operators.sampling import sample_per_split
 from quillprep.operators.vocabulary import build_vocabulary
 from quillprep.params import PrepParams
 from quillprep.session import cut_lineage
-from quillprep.sources.export import export_training_set
+from quillprep.sources.export import ROWS_PER_FILE, export_training_set
 
 
 def prepare_pairs(rows: DataFrame, params: PrepParams, check_keys: bool = True) -> DataFrame:
-    """Sample each split, then build ``index, prompt, target``; text work on the sample only."""
-    if check_keys:
-        require_unique_key(rows, params.key_col)
-    sampled = sample_per_split(rows, params.split_sizes, params.key_col, params.seed)
+    """Sample each split, then build ``index, prompt, target``; text work on the sample only.
+
+    With ``check_keys`` the job fails where a sampled row's key is missing or not its own.
+    """
+    sampled = sample_per_split(
+        rows, params.split_sizes, params.key_col, params.seed, check_keys
+    )
     return prompt_target_pairs(sampled, params)
 
 
@@ -48,12 +51,14 @@ def tokenize_splits(
     return packing.pack(encode_splits(pairs, params, vocabulary), params)
 
 
-def prepare_training_set(rows: DataFrame, path: str, params: PrepParams) -> DataFrame:
+def prepare_training_set(
+    rows: DataFrame, path: str, params: PrepParams, rows_per_file: int = ROWS_PER_FILE
+) -> DataFrame:
     """Raw rows to an exported training set in sample order; returns the prepared pairs.
 
     The pairs are written once: the vocabulary pass, the encoding and an evaluation read them
     instead of sampling again.
     """
     pairs = cut_lineage(prepare_pairs(rows, params))
-    export_training_set(encode_splits(pairs, params), path, params, order="index")
+    export_training_set(encode_splits(pairs, params), path, params, "index", rows_per_file)
     return pairs

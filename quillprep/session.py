@@ -1,4 +1,4 @@
-"""Session helpers: shared scratch space, lineage cuts, size checks, input spreading."""
+"""Session helpers: shared scratch space and lineage cuts."""
 
 from __future__ import annotations
 
@@ -73,22 +73,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a DataFrame; file sizes for a plain scan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of few files and less than one full split per core.
-
-    Row groups are not split by the scan, so a small file runs on one core. The shuffle this
-    adds is bounded by cores x ``maxPartitionBytes``; a larger input is returned as it is.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    split_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split))
-    small = planned_bytes(df) < cores * split_bytes and len(df.inputFiles()) < cores
-    return df.repartition(cores) if small else df

@@ -18,23 +18,33 @@ CSV_OPTIONS = {
 }
 
 
+# Lines of a JSON source in which its fields are looked for.
+CHECKED_LINES = 1_000
+
+
 def require_columns(found: list[str], required: list[str], source: str) -> None:
     """Fail before any job if a required column is missing."""
-    missing = [c for c in required if c not in found]
-    if missing:
-        raise ValueError(f"{source} is missing expected column(s) {missing}. Found: {found}")
+    absent = sorted(set(required) - set(found))
+    if absent:
+        raise ValueError(f"cannot read {source}: no column named {', '.join(absent)} among {', '.join(found)}")
 
 
-def read_csv(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, required: list[str], multi_line: bool = True
+) -> DataFrame:
     """CSV with a header, every column read as text.
 
+    Where no quoted text holds a newline, ``multi_line=False`` lets the scan split large files;
+    otherwise a file is one task.
+
     The schema takes its names from the header line, so columns may stand in any order; a
     file whose header differs from the first one's fails the scan.
     """
-    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    options = CSV_OPTIONS | {"multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
     require_columns(header, required, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", False)
+    reader = spark.read.schema(schema).options(**options).option("enforceSchema", False)
     return reader.csv(path).select(*required)
 
 
@@ -44,7 +54,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_json(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    """JSON lines; a field no line holds comes back as NULL and meets the null rule."""
+    """JSON lines; fails if no line holds a required field.
+
+    Fields are looked for in the first ``CHECKED_LINES`` lines. One that only some lines lack comes
+    back as NULL there and meets the null rule.
+    """
+    sample = spark.read.text(path).limit(CHECKED_LINES)
+    keys = F.explode(F.json_object_keys("value"))
+    require_columns([r[0] for r in sample.select(keys).distinct().collect()], required, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in required])
     return spark.read.schema(schema).json(path)
 
@@ -62,7 +79,12 @@ def with_row_key(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
     return spark.read.parquet(path).withColumn(key, place)
 
 
-_READERS = {"csv": read_csv, "json": read_json, "parquet": read_parquet}
+def read_csv_lines(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
+    """CSV without newlines inside quotes: its files are split."""
+    return read_csv(spark, path, required, multi_line=False)
+
+
+_READERS = {"csv": read_csv, "csv-lines": read_csv_lines, "json": read_json, "parquet": read_parquet}
 
 
 def union_splits(splits: dict[str, DataFrame]) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from quillprep.session import spread
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # the whole text where no sentence ends
 FIRST_SENTENCE = r"^[^.!?]*(?:[.!?]|\z)"
@@ -21,7 +19,7 @@ def split_of(number: Column) -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
 
 
 def pairs_of_documents(docs: DataFrame) -> DataFrame:
@@ -40,18 +38,16 @@ def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each assistant turn that answers a user turn; turns are numbered without gaps.
+    """Each assistant turn whose turn before it is the user's; turn numbers may have gaps.
 
-    Joined on ``(conv_id, turn)`` rather than windowed, so a long conversation is spread.
+    Neighbours are found by rank inside a conversation, whose turns are sorted in one task.
     """
-    turns = table(spark, sf_dir, "conversations")
-    asked = turns.filter(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("article")
-    )
-    answered = turns.filter(F.col("role") == "assistant").select(
-        "conv_id", "turn", F.col("text").alias("highlights")
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    turns = table(spark, sf_dir, "conversations").withColumns(
+        {"_role": F.lag("role").over(order), "article": F.lag("text").over(order)}
     )
-    return answered.join(asked, ["conv_id", "turn"]).select(
+    answered = turns.filter((F.col("role") == "assistant") & (F.col("_role") == "user"))
+    return answered.withColumnRenamed("text", "highlights").select(
         F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn").alias("id"),
         split_of(F.col("conv_id")).alias("split"),
         F.lit("any").alias("lang"),

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from quillprep.params import PrepParams
 from quillprep.plans.prepare import prepare_training_set
-from quillprep.session import spread
 from quillprep.sources import splits
 from quillprep.sources.export import export_training_set
 
@@ -36,7 +35,7 @@ def test_columns_in_any_order_and_extra_ones(spark, tmp_path):
 
 def test_missing_column_is_named(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,article\n1,a\n")
-    with pytest.raises(ValueError, match=r"\['highlights'\].*\['id', 'article'\]"):
+    with pytest.raises(ValueError, match="no column named highlights among id, article"):
         splits.read_csv(spark, str(tmp_path / "a.csv"), COLUMNS)
 
 
@@ -106,13 +105,21 @@ def test_saved_splits(spark, paths, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
 
 
-def test_spread_only_touches_small_inputs(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+def test_json_fields_are_checked(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id":"1","article":"a"}\n{"id":"2","article":"b","highlights":null}\n')
+    assert splits.read_json(spark, str(tmp_path / "a.json"), ["id", "highlights"]).count() == 2
+    with pytest.raises(ValueError, match="no column named summary"):
+        splits.read_json(spark, str(tmp_path / "a.json"), ["id", "summary"])
+
+
+def test_csv_files_are_split_unless_told_otherwise(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("id,article\n" + "".join(f"{i},text {i}\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
-        assert spread(df) is df
+        whole = splits.read_csv(spark, str(path), ["id"])
+        lines = splits.read_csv(spark, str(path), ["id"], multi_line=False)
+        assert whole.rdd.getNumPartitions() == 1 < lines.rdd.getNumPartitions()
+        assert whole.count() == lines.count() == 3000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -62,6 +62,32 @@ def test_decode(spark, tokens):
     assert [r.text for r in got] == [" ".join(t for t in r.tokens if t not in skipped) for r in got]
 
 
+def test_joined_lookups_of_several_columns_and_decoding(spark, tokens):
+    vocab = vocabulary.build_vocabulary(tokens, 5)
+    lookup = broadcast_lookup(spark, vocab)
+    both = tokens.withColumn("more", F.reverse("tokens"))
+    names = {"tokens": "ids", "more": "more_ids"}
+    by_join = join_ids(both, vocab, names, ["id"]).select("id", "ids", "more_ids")
+    by_batch = encode(both, vocab, names, ["id"]).select("id", "ids", "more_ids")
+    assert sorted(map(tuple, by_join.collect())) == sorted(map(tuple, by_batch.collect()))
+    texts = {"ids": "a", "more_ids": "b"}
+    joined = encoding.join_text(by_join, vocab, texts, ["id"]).select("id", "a", "b").collect()
+    plain = by_join.select("id", decode_ids(F.col("ids"), lookup), decode_ids(F.col("more_ids"), lookup))
+    assert sorted(map(tuple, joined)) == sorted(map(tuple, plain.collect()))
+
+
+def test_article_cut_needs_room(spark):
+    params = PrepParams(max_len=17, max_target=16, cut="article", system_prompt="s", instruction_template="{article}")
+    tokens = packing.with_tokens(pairs(spark), params)
+    with pytest.raises(Exception, match="shorter than what follows"):
+        tokens.select(packing.cut_prompt(F.col("prompt_tokens"), params)).collect()
+
+
+def test_epochs_are_validated(spark):
+    with pytest.raises(ValueError):
+        epochs.epoch_plan(spark.range(2), PrepParams(), epochs=0)
+
+
 def reference_pack(prompt, target, max_len, max_target, pad):
     prompt = prompt[: max_len - max_target]
     target = (target + [EOS_ID])[: max_len - len(prompt)]
@@ -158,7 +184,7 @@ def test_truncation_audit(spark):
 
 
 def test_custom_tokenizer(spark):
-    tokenize = custom_tokenizer(lambda: lambda s: [ord(c) for c in s])
+    tokenize = custom_tokenizer(lambda: lambda texts: [[ord(c) for c in s] for s in texts])
     df = spark.createDataFrame([("ab",), ("",)], "t string")
     assert [r[0] for r in df.select(tokenize(F.col("t"))).collect()] == [[97, 98], []]
 
