@@ -12,8 +12,9 @@ held-out rows are never read. Scoring is map-only.
 
 Defined results: null and empty texts score as a text without features. Rows with a null id are
 scored and never trained on. A label row with a null id or label is left out; of repeated label rows
-the largest label counts. Without any usable label every score is 0. Repeated rows are rows like any
-other, an empty table gives an empty result, and columns beside id and text are not read.
+the largest label counts. Without any usable label every score is 0. Repeated rows are scored like any
+other; of rows with the same id the smallest text is learned from. An empty table gives an empty
+result, and columns beside id and text are not read.
 """
 
 from __future__ import annotations
@@ -263,7 +264,9 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     )
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.sample)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("text", "label")
+    # a row for each id, so that repeated ids cannot outgrow the bound
+    once = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    sample = once.select("text", "label")
     shared = spark.sparkContext.broadcast(decoder)
 
     def read(batches: Iterator[Lists]) -> Iterator[Lists]:

@@ -114,6 +114,10 @@ def test_held_out_accuracy_and_labels_left_alone(spark):
     more = spark.createDataFrame([(None, 1), (3, None), (0, 1), (0, 0)], "doc_id long, toxic int")
     again = {r.doc_id: r.score for r in score(docs, train(docs, flipped.unionByName(more), params)).collect()}
     assert again == pytest.approx(got)
+    # neither do repeated rows, which share one place in the sample
+    twice = train(docs.unionByName(docs), labels, params)
+    assert set(twice.wanted) == set(model.wanted)
+    assert sorted(twice.weights) == pytest.approx(sorted(model.weights))
     kept = {r.doc_id for r in clean_documents(docs, model).collect()}
     assert kept == {i for i, s in got.items() if s < params.threshold}
 
