@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quillprep.llm.arrow import Lists, map_lists
 from quillprep.llm.components import components
@@ -251,5 +251,5 @@ def one_of_each(docs: DataFrame, params: SimHashParams = SimHashParams(), id_col
     names = ["_id", "_none", "_digest"]
     kept = firsts.select(*key(F.col("doc_id")), F.col("digest").alias("_digest")).distinct()
     tagged = docs.select("*", *key(F.col(id_col)), F.xxhash64(text_col).alias("_digest"))
-    again = F.row_number().over(Window.partitionBy(*names).orderBy(text_col))
-    return tagged.join(kept, names, "left_semi").withColumn("_nth", again).filter("_nth = 1").drop(*names, "_nth")
+    # combines before the shuffle, so a row that is repeated often meets itself in pieces
+    return tagged.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)
