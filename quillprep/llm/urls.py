@@ -2,9 +2,10 @@
 
 A labelled url is a transaction of its tokens: scheme, host labels, path segments, query keys. FP-growth finds token combinations that go with bad labels often
 enough; rules below the confidence or support wanted, and rules that a shorter one implies, are
-pruned. Rules are matched by an inverted index: each is filed under its rarest token, urls meet it by
-that token, and the rest of the rule is checked on the few that do. Given rules for hosts and paths
-come first, the longest that fits.
+pruned. Tokens that occur in exactly the same labelled urls are one item there, so many copies of a
+long url have few combinations; a rule takes any of an item's tokens. Rules are matched by an inverted
+index: each is filed under its rarest item's tokens, urls meet it by such a token, and the rest of the
+rule is checked on the few that do. Given rules for hosts and paths come first, the longest that fits.
 
 Defined results: a null url or one without ``://`` has an empty host and path, fits no given rule,
 and keeps the default verdict unless a mined rule fits. Null ids and repeated rows are rows like any
@@ -15,6 +16,7 @@ urls nothing is mined. An empty table gives an empty result. Other columns are n
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -113,21 +115,38 @@ def labelled(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return asked.filter("doc_id is not null").join(judged, "doc_id").select("tokens", "bad")
 
 
+def same_urls(baskets: DataFrame, least: int) -> DataFrame:
+    """``lead, members``: tokens of at least ``least`` of the ``row, tokens``, those of the same rows together.
+
+    A token's rows are told by their number and the exclusive or of their hashes. As many tokens are
+    frequent as the wanted share and the length of urls allow, however many urls there are.
+    """
+    each = baskets.select(F.xxhash64("row").alias("h"), F.explode("tokens").alias("token"))
+    rows = each.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor("h").alias("mark")).filter(F.col("n") >= least)
+    members = F.array_sort(F.collect_set("token"))
+    return rows.groupBy("n", "mark").agg(members.alias("members")).select(F.get("members", F.lit(0)).alias("lead"), "members")
+
+
 def mine(transactions: DataFrame, params: RuleParams = RuleParams()) -> DataFrame:
-    """``rule_id, antecedent, anchor, support, confidence`` of the rules that are kept.
+    """``rule_id, antecedent, alternatives, anchor, support, confidence`` of the rules that are kept.
 
-    Rules are pruned twice: by confidence and support, and where a rule with fewer of the same tokens
-    is kept. Items that no rule can hold, rarer than the support, are left to FP-growth's first pass.
+    A rule asks for each token of ``antecedent`` or one that goes with the same labelled urls;
+    ``alternatives`` lists these for each, in any order. Rules are pruned twice: by confidence and
+    support, and where a rule with fewer of the same tokens is kept.
     """
     spark = transactions.sparkSession
-    empty = "rule_id long, antecedent array<string>, anchor string, support double, confidence double"
-    baskets = cut_lineage(
-        transactions.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items"))
-    )
-    total = baskets.count()
+    empty = "rule_id long, antecedent array<string>, alternatives array<array<string>>, anchor string, anchors array<string>, support double, confidence double"
+    given = cut_lineage(transactions.select(F.monotonically_increasing_id().alias("row"), "tokens", "bad"))
+    total = given.count()
     if total < params.least_rows:
         return spark.createDataFrame([], empty)
-    growth = FPGrowth(itemsCol="items", minSupport=max(params.support, params.least_rows / total), minConfidence=params.confidence)
+    support = max(params.support, params.least_rows / total)
+    items = cut_lineage(same_urls(given, ceil(support * total)))
+    marked = given.select("row", F.explode(F.concat("tokens", F.array(F.when(F.col("bad"), BAD).otherwise("")))).alias("token"))
+    leads = items.select(F.col("lead").alias("token"), F.lit(True).alias("_leads"))
+    used = F.when(F.col("_leads") | (F.col("token") == BAD), F.col("token"))
+    baskets = cut_lineage(marked.join(leads, "token", "left").groupBy("row").agg(F.collect_list(used).alias("items")))
+    growth = FPGrowth(itemsCol="items", minSupport=support, minConfidence=params.confidence)
     if params.partitions:
         growth = growth.setNumPartitions(params.partitions)
     sets = cut_lineage(growth.fit(baskets).freqItemsets)
@@ -158,22 +177,26 @@ def mine(transactions: DataFrame, params: RuleParams = RuleParams()) -> DataFram
         rules.join(implied, "rule_id", "left_anti")
         .withColumn("token", F.explode("antecedent"))
         .join(single, "token")
+        .join(items.withColumnRenamed("lead", "token"), "token")
+        .withColumn("alternatives", F.collect_list("members").over(Window.partitionBy("rule_id")))
         .withColumn("_nth", F.row_number().over(rarest))
         .filter("_nth = 1")
     )
-    return anchors.select("rule_id", "antecedent", F.col("token").alias("anchor"), "support", "confidence")
+    names = [F.col("token").alias("anchor"), F.col("members").alias("anchors")]
+    return anchors.select("rule_id", "antecedent", "alternatives", *names, "support", "confidence")
 
 
 def matched(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """``row, rule_id, confidence``: the surest mined rule of each row of ``pages`` (``row, tokens``) that any fits.
 
-    The index side has a row per rule. Only a row's own tokens are sent to it, and only rows with a
-    rule's anchor go on, so frequent tokens cost nothing unless a rule is filed under them.
+    The index side has a row for each token a rule is filed under. Only a row's own tokens are sent to
+    it, and only rows with such a token go on, so frequent ones cost nothing unless a rule is under them.
     """
+    index = rules.withColumn("anchor", F.explode("anchors"))
     hits = (
         pages.select("row", "tokens", F.explode("tokens").alias("anchor"))
-        .join(rules, "anchor")
-        .filter(F.size(F.array_except("antecedent", "tokens")) == 0)
+        .join(index, "anchor")
+        .filter(F.forall("alternatives", lambda some: F.arrays_overlap(some, F.col("tokens"))))
     )
     best = F.max(F.struct("confidence", "support", "rule_id"))
     return hits.groupBy("row").agg(best.alias("best")).select("row", "best.rule_id", "best.confidence")

@@ -1,8 +1,8 @@
-from itertools import combinations
+from itertools import combinations, product
 
 import pytest
 
-from quillprep.llm.urls import GIVEN, RuleParams, judge, mine
+from quillprep.llm.urls import GIVEN, RuleParams, judge, matched, mine
 
 
 def plain(url):
@@ -78,5 +78,18 @@ def test_mined_rules_block(spark):
     assert got[502].verdict == got[150].verdict == "allow"
 
 
+def test_tokens_of_the_same_urls_are_one_item(spark):
+    many = [f"x{k:02}" for k in range(40)]
+    baskets = [([*many, "h"], True)] * 30 + [(["a", "b", "h"], True)] * 9 + [(["a", "b", "c", "h"], False)] * 9 + [(["h"], False)] * 60
+    params = RuleParams(support=0.01, confidence=0.4, least_rows=4)
+    got = mine(spark.createDataFrame(baskets, "tokens array<string>, bad boolean"), params).collect()
+    few = [([t for t in tokens if t not in many[1:]], bad) for tokens, bad in baskets]
+    expanded = {frozenset(x) for r in got for x in product(*r.alternatives)}
+    assert expanded == brute_rules(few, params) | {frozenset([t]) for t in many} == {frozenset([t]) for t in [*many, "a", "b"]}
+    rules = mine(spark.createDataFrame(baskets, "tokens array<string>, bad boolean"), params)
+    asked = spark.createDataFrame([(1, ["x39"]), (2, ["b", "z"]), (3, ["c", "h"])], "row long, tokens array<string>")
+    assert {r.row for r in matched(asked, rules).collect()} == {1, 2}
+
+
 def test_empty(spark):
     assert judge(pages(spark, [(1, "x")]).filter("false"), labels(spark, [])).count() == 0
