@@ -5,7 +5,8 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import chat, decontamination, mixing, pii, quality, sharding, simhash, substrings, toxicity, urls
+from quillprep.llm import chat, decontamination, mixing, pii, quality, sharding, simhash, substrings, token_files, toxicity, urls
+from quillprep.session import scratch_path
 from quillprep.sources.tables import table
 
 
@@ -100,6 +101,15 @@ def op10_cover_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's ids, read back from token files of the whole table."""
+    import public_tokenizers
+
+    docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
+    token_files.write_files(docs, public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_files.read_documents(spark, path)
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_simhash_components": op1_simhash_components,
@@ -112,4 +122,5 @@ QUERIES = {
     "op8_hash_tree_shards": op8_hash_tree_shards,
     "op9_quality_rules": op9_quality_rules,
     "op10_cover_substrings": op10_cover_substrings,
+    "op11_token_files": op11_token_files,
 }
