@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillprep.llm import chat, decontamination, mixing, pii, quality, sharding, simhash, substrings, token_files, toxicity, urls
+from quillprep.llm import chat, decontamination, lexical, merkle, mixing, pii, quality, sharding, simhash, substrings, token_files, toxicity, urls
 from quillprep.session import scratch_path
 from quillprep.sources.tables import table
 
@@ -110,6 +110,32 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and roots of each document; one in seven is tampered with and does not fold to the root."""
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    touched = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    fields = {c: F.col(c) for c in names}
+    tampered = fields | {"n_chars": F.col("n_chars") + 1}
+    original = merkle.leaf(list(fields.values()))
+    claimed = F.when(touched, merkle.leaf(list(tampered.values()))).otherwise(original)
+    made = merkle.manifest(table(spark, sf_dir, "documents"), original, "lang", "doc_id", {"claimed": claimed})
+    text = lambda c: F.lower(F.hex(c)).alias(c)
+    return merkle.folded(made, "claimed").select(
+        F.col("id").alias("doc_id"),
+        text("digest").alias("leaf"),
+        text("subroot"),
+        text("root"),
+        F.sha2("proof", 256).alias("proof_sha256"),
+        text("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for each benchmark item."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_simhash_components": op1_simhash_components,
@@ -123,4 +149,6 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_cover_substrings": op10_cover_substrings,
     "op11_token_files": op11_token_files,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ranked_search": op13_ranked_search,
 }

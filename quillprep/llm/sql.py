@@ -147,9 +147,92 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM lengths GROUP BY conv_id
 """
 
+_FIELD = "coalesce(strlen(({0})::VARCHAR) || ':' || ({0})::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a short ASCII text, a bit at a time."""
+    step = "list_reduce([b] || range(8), (c, i) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    byte = f"list_transform([xor(c, x)], b -> {step})[1]"
+    return f"xor(list_reduce([4294967295] || list_transform(string_split({text}, ''), s -> ascii(s)::BIGINT), (c, x) -> {byte}), 4294967295)"
+
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS row_no, doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+         {_leaf('n_chars')} AS leaf, {_leaf('n_chars + 1')} AS other, {_crc32('doc_id::VARCHAR')} % 7 = 0 AS touched
+  FROM documents
+), placed AS (
+  SELECT row_no, doc_id, g, leaf, CASE WHEN touched THEN other ELSE leaf END AS claimed,
+         row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, row_no) - 1 AS pos,
+         count(*) OVER (PARTITION BY g) AS n
+  FROM leaves
+), tree AS (
+  SELECT g, 0 AS level, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT g, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM tree WHERE n > 1 GROUP BY g, level, pos // 2
+), subroots AS (
+  SELECT g, h, count(*) OVER () AS n FROM tree WHERE n = 1
+), top AS (
+  SELECT 0 AS level, g AS pos, h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM top WHERE n > 1 GROUP BY level, pos // 2
+), climb AS (
+  SELECT row_no, g, 0 AS level, pos, n, claimed AS v, '' AS proof FROM placed
+  UNION ALL
+  SELECT row_no, c.g, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+         sha256(CASE WHEN c.pos % 2 = 0 THEN v || coalesce(s.h, '') ELSE s.h || v END), proof || coalesce(s.h, '')
+  FROM climb c LEFT JOIN tree s ON s.g = c.g AND s.level = c.level AND s.pos = xor(c.pos, 1) WHERE c.n > 1
+), above AS (
+  SELECT row_no, 0 AS level, c.g AS pos, s.n, v, proof FROM climb c JOIN subroots s USING (g) WHERE c.n = 1
+  UNION ALL
+  SELECT row_no, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+         sha256(CASE WHEN c.pos % 2 = 0 THEN v || coalesce(s.h, '') ELSE s.h || v END), proof || coalesce(s.h, '')
+  FROM above c LEFT JOIN top s ON s.level = c.level AND s.pos = xor(c.pos, 1) WHERE c.n > 1
+), root AS (SELECT h AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, v AS folded_root, v = root AS verified
+FROM placed JOIN subroots s USING (g) JOIN (SELECT * FROM above WHERE n = 1) USING (row_no), root
+"""
+
+SEARCH = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), size AS (
+  SELECT count(*)::BIGINT AS n, sum(len(terms))::BIGINT AS l FROM split WHERE len(terms) > 0
+), postings AS (
+  SELECT row_no, doc_id, len(terms)::BIGINT AS length, term, count(*)::BIGINT AS tf
+  FROM (SELECT row_no, doc_id, terms, unnest(terms) AS term FROM split) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, size GROUP BY term
+), asked AS (
+  SELECT DISTINCT item_no, item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS item_no FROM benchmark)
+), scored AS (
+  SELECT item_no, item_id, row_no, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * length * n) // l))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term), size GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
 ORACLE_SQL = {
     "op3_prefix_targets": CHAT,
     "op4_mix_sources": MIX,
     "op9_quality_rules": QUALITY,
     "op10_cover_substrings": SUBSTRINGS,
+    "op12_merkle_manifest": MERKLE,
+    "op13_ranked_search": SEARCH,
 }
