@@ -307,8 +307,9 @@ def _search_block(docs: DataFrame, mine: DataFrame, params: SearchParams, id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, weights = shared.value
-        best = [Best(params.top) for _ in asked]
+        best, kind = [Best(params.top) for _ in asked], None
         for b in batches:
+            kind = b.schema.field("doc_ids").type.value_type
             for k in range(b.num_rows):
                 row = {c: b.column(c)[k].values for c in SHARD}
                 ids = row.pop("doc_ids")
@@ -317,7 +318,8 @@ def _search_block(docs: DataFrame, mine: DataFrame, params: SearchParams, id_col
                     found, scores = search(shard.lists(query), params, own.floor)
                     if len(found):
                         own.add(scores.tolist(), ids.take(pa.array(found)).to_pylist())
-        kind = b.schema.field("doc_ids").type.value_type
+        if kind is None:
+            return
         rows = [(n, None if none else d, -s) for own, (n, _) in zip(best, asked, strict=True) for s, none, d in own.rows]
         columns = [[r[c] for r in rows] for c in range(3)]
         arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), kind, pa.int64()), strict=True)]

@@ -157,8 +157,9 @@ def fold(tiers: list[DataFrame], values: DataFrame, params: MerkleParams = Merkl
         sizes = values.groupBy("scope").agg(F.max(pieces).alias("pieces"))
         lowest = _tiled(tier, params).join(sizes, "scope").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
         rising = _tiled(values, params).withColumn("piece", F.pmod(F.xxhash64("row_no"), pieces))
-        passed = lowest.drop("pieces").groupBy(*by).cogroup(rising.groupBy(*by)).applyInArrow(climb, schema)
-        values = cut_lineage(passed)
+        # columns of their own, as both sides may stem from the same leaves
+        lowest = lowest.select(*[F.col(c).alias(c) for c in (*by, "rank", "n", "digest")])
+        values = cut_lineage(lowest.groupBy(*by).cogroup(rising.groupBy(*by)).applyInArrow(climb, schema))
     return values
 
 

@@ -10,8 +10,8 @@ from quillprep.session import cut_lineage
 def in_pieces(rows: DataFrame, order: list[Column], pieces: int, name: str) -> DataFrame:
     """The rows dealt into at most ``pieces`` ranges of ``order`` and sorted in each; ``name`` has the range's number.
 
-    ``rows`` must be a written table with a column ``row_no`` that no other row shares: it settles ties, so that a key of any
-    weight is cut like the others. Ranges come from Spark's sample of the keys.
+    ``row_no`` must be a column that no two rows share: it settles ties, so that a key of any weight is cut like the others.
+    Ranges come from Spark's sample of the keys, for which ``rows`` are read once more.
     """
     by = [*order, F.col("row_no")]
     return rows.repartitionByRange(max(1, pieces), *by).sortWithinPartitions(*by).withColumn(name, F.spark_partition_id())

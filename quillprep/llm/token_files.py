@@ -45,23 +45,27 @@ from quillprep.llm.ordering import in_pieces, numbered
 from quillprep.session import scratch_path
 
 _TEXT_AT_ONCE = 1 << 22
+# Printable ASCII and the Latin letters up to U+017E that are composed already and have one lower-case letter.
+_PLAIN = regex.compile("[!-~À-ÖØ-öø-įĲ-ňŊ-ž]+")
 
 
 @dataclass(frozen=True)
 class FileParams:
     """``sequence`` ids a sequence, ``batch`` sequences a batch, about ``file_ids`` ids a file, of whole documents.
 
-    A worker remembers at most ``remembered`` pieces of text, or those of one batch where they are more.
+    A task makes the files of about ``range_bytes`` of text. A worker remembers at most ``remembered`` pieces of text, or
+    those of some megabytes of it where they are more.
     """
 
     sequence: int = 2048
     batch: int = 64
     file_ids: int = 1 << 22
     end_id: int = 1
-    remembered: int = 1 << 20
+    range_bytes: int = 1 << 24
+    remembered: int = 1 << 19
 
     def __post_init__(self) -> None:
-        if min(self.sequence, self.batch, self.file_ids, self.remembered) < 1 or self.end_id < 0:
+        if min(self.sequence, self.batch, self.file_ids, self.range_bytes, self.remembered) < 1 or self.end_id < 0:
             raise ValueError("sizes must be positive, end_id must not be negative")
 
 
@@ -106,8 +110,9 @@ class Encoder:
     """Ids of texts as the library gives them, with strings that return encoded once.
 
     A vocabulary whose splitting removes all white space and whose words end in a mark of their own gives a text
-    the ids of what lies between white space, one after another. Of those, plain ASCII strings are cut by the file's own
-    pattern and go to its model alone; whatever else there is passes through the whole of it.
+    the ids of what lies between white space, one after another. Of those, strings of printable ASCII and of letters that
+    normalization leaves alone are lower-cased and cut by the file's own pattern, and each piece goes to its model
+    once; whatever else there is passes through the whole of it.
     """
 
     def __init__(self, path: str, remembered: int) -> None:
@@ -122,8 +127,11 @@ class Encoder:
             ends = np.zeros(self.size, bool)
             ends[[number for token, number in plan["model"]["vocab"].items() if token.endswith(end)]] = True
             self.ends = ends
-            bare = plan | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
-            self.model = Tokenizer.from_str(json.dumps(bare))
+            # the file's model behind a split at spaces; bytes of visible ASCII stand for themselves in its vocabulary
+            spaces, octets = {"type": "WhitespaceSplit"}, plan["pre_tokenizer"]["pretokenizers"][1]
+            bare = lambda cut: Tokenizer.from_str(json.dumps(plan | {"normalizer": None, "pre_tokenizer": cut, "added_tokens": []}))
+            self.ascii_model = bare(spaces)
+            self.model = bare({"type": "Sequence", "pretokenizers": [spaces, octets]})
 
     @staticmethod
     def _pattern(plan: dict) -> regex.Pattern | None:
@@ -146,16 +154,18 @@ class Encoder:
 
     def _learn_pieces(self, found: list[str]) -> None:
         fresh = [p for p in dict.fromkeys(found) if p not in self.pieces.slot]
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            # each piece ends in an end-of-word token, and has no other
-            self.pieces.add(part, ids, np.flatnonzero(self.ends[ids]) + 1)
+        for model, own in ((self.ascii_model, [p for p in fresh if p.isascii()]), (self.model, [p for p in fresh if not p.isascii()])):
+            for at in range(0, len(own), 4096):
+                part = own[at : at + 4096]
+                ids = np.array(model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+                # each piece ends in an end-of-word token, and has no other
+                self.pieces.add(part, ids, np.flatnonzero(self.ends[ids]) + 1)
 
     def _learn_chunks(self, fresh: list[str]) -> None:
+        plain, special = _PLAIN.fullmatch, self.special.search
         easy, hard = [], []
         for c in fresh:
-            (easy if c.isascii() and c.isprintable() and not self.special.search(c) else hard).append(c)
+            (easy if plain(c) and not special(c) else hard).append(c)
         if hard:
             lists = [e.ids for e in self.whole.encode_batch_fast(hard, add_special_tokens=False)]
             self.chunks.add(hard, np.fromiter(chain.from_iterable(lists), np.uint32), np.cumsum([len(ids) for ids in lists]))
@@ -216,28 +226,6 @@ def _stretches(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def encoded(docs: DataFrame, vocabulary: str, params: FileParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, tie, n, ids`` for each row: its ids with the end id, as the bytes that files hold. ``tie`` orders equal ids."""
-    text = text_or_empty(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(vocabulary, params.remembered)
-        width = id_type(known.size, params)
-        for b in batches:
-            for start, end in _stretches(pc.binary_length(b.column("text")).to_numpy(zero_copy_only=False)):
-                part = b.slice(start, end - start)
-                ids, lengths = known.encode(part.column("text"))
-                closed = np.insert(ids, np.cumsum(lengths), params.end_id).astype(width)
-                lengths = lengths + 1
-                edges = (np.concatenate([[0], np.cumsum(lengths)]) * closed.itemsize).astype(np.int32)
-                data = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(edges), pa.py_buffer(closed)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), pa.array(lengths), data], ["doc_id", "tie", "n", "ids"])
-
-    return rows.mapInArrow(run, f"doc_id {kind}, tie long, n long, ids binary")
-
-
 def id_type(vocabulary_size: int, params: FileParams) -> np.dtype:
     """Little-endian ids of two bytes where all fit, else of four."""
     return np.dtype("<u2" if max(vocabulary_size - 1, params.end_id) < 1 << 16 else "<u4")
@@ -309,35 +297,47 @@ class TokenFile:
 
 
 def write_files(docs: DataFrame, vocabulary: str, path: str, params: FileParams = FileParams(), id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode ``docs`` and write them as token files under ``path``, in order of their ids, nulls first."""
-    rows = numbered(encoded(docs, vocabulary, params, id_col, text_col))
-    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
-    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
-    ranges = in_pieces(rows, order, -(-total // params.file_ids), "part").select("part", "doc_id", "n", "ids")
+    """Encode ``docs`` and write them as token files under ``path``, in order of their ids, nulls first.
+
+    Texts are shuffled once, by ranges of their ids, and encoded where their file is made.
+    """
+    text = text_or_empty(text_col)
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("row_no")
+    )
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
+    ranges = in_pieces(rows, [F.col("doc_id").asc_nulls_first(), F.col("tie")], -(-size // params.range_bytes), "part")
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = Tokenizer.from_file(vocabulary).get_vocab_size(with_added_tokens=True)
-        width, held, lengths, doc_ids, part, nth = id_type(size, params), [], [], [], 0, 0
+        known = encoder(vocabulary, params.remembered)
+        width = id_type(known.size, params)
+        held, count, part, nth = [], 0, 0, 0
 
         def close() -> pa.RecordBatch:
-            made = file_bytes(np.concatenate(held), lengths, doc_ids, (part, nth), params)
+            ids, lengths, doc_ids = zip(*held, strict=True)
+            made = file_bytes(np.concatenate(ids), [n for l in lengths for n in l], [d for l in doc_ids for d in l], (part, nth), params)
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["file"])
 
-        count = 0
         for b in batches:
-            part = b.column("part")[0].as_py() if b.num_rows else part
-            for doc_id, n, ids in zip(b.column("doc_id").to_pylist(), b.column("n").to_pylist(), b.column("ids"), strict=True):
-                held.append(np.frombuffer(ids.as_buffer(), width))
-                lengths.append(n)
-                doc_ids.append(doc_id)
-                count += n
-                if count >= params.file_ids:
-                    yield close()
-                    held, lengths, doc_ids, count, nth = [], [], [], 0, nth + 1
+            for start, end in _stretches(pc.binary_length(b.column("text")).to_numpy(zero_copy_only=False)):
+                rows = b.slice(start, end - start)
+                part, doc_ids = rows.column("part")[0].as_py(), rows.column("doc_id").to_pylist()
+                ids, lengths = known.encode(rows.column("text"))
+                closed = np.insert(ids, np.cumsum(lengths), params.end_id).astype(width)
+                edges = np.concatenate([[0], np.cumsum(lengths + 1)])
+                at = 0
+                while at < len(doc_ids):
+                    # the documents up to the one that fills the file
+                    upto = min(int(np.searchsorted(edges, edges[at] + params.file_ids - count)), len(doc_ids))
+                    held.append((closed[edges[at] : edges[upto]], np.diff(edges[at : upto + 1]).tolist(), doc_ids[at:upto]))
+                    count, at = count + int(edges[upto] - edges[at]), upto
+                    if count >= params.file_ids:
+                        yield close()
+                        held, count, nth = [], 0, nth + 1
         if held:
             yield close()
 
-    made = ranges.mapInArrow(files, "file binary")
+    made = ranges.select("part", "doc_id", "text").mapInArrow(files, "file binary")
     made.select(F.col("file").cast("string")).write.option("maxRecordsPerFile", 1).text(path)
 
 
