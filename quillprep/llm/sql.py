@@ -156,9 +156,9 @@ def _leaf(n_chars: str) -> str:
 
 def _crc32(text: str) -> str:
     """Unsigned CRC-32 of a short ASCII text, a bit at a time."""
-    step = "list_reduce([b] || range(8), (c, i) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
-    byte = f"list_transform([xor(c, x)], b -> {step})[1]"
-    return f"xor(list_reduce([4294967295] || list_transform(string_split({text}, ''), s -> ascii(s)::BIGINT), (c, x) -> {byte}), 4294967295)"
+    step = "list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+    byte = f"list_transform([xor(c, x)], lambda b: {step})[1]"
+    return f"xor(list_reduce([4294967295] || list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT), lambda c, x: {byte}), 4294967295)"
 
 
 MERKLE = f"""
