@@ -22,6 +22,7 @@ from quillprep.operators.pairs import (
     render_conversations,
     with_prompt_text,
 )
+from quillprep.operators.subwords import Subwords, load_subwords, subword_ids, subword_text, subword_usage
 from quillprep.operators.vocabulary import EOS_ID, broadcast_lookup
 from quillprep.params import SPLITS, ChatFormat, EvalParams, PrepParams
 from quillprep.plans import evaluate
@@ -308,6 +309,45 @@ def step_token_stats(spark: SparkSession, sf: str) -> DataFrame:
     return epochs.step_token_stats(epochs.epoch_plan(lengths, PREP), PREP)
 
 
+# subwords
+
+
+def _subwords(spark: SparkSession) -> Subwords:
+    import public_tokenizers
+
+    return load_subwords(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def _subword_examples(spark: SparkSession, sf: str) -> tuple[DataFrame, Subwords, PrepParams]:
+    known = _subwords(spark)
+    params = replace(PREP, eos_id=known.size)  # the first free id; it pads as well
+    return packing.tokenize_pairs(_pairs(spark, sf), lambda text: subword_ids(text, known), params), known, params
+
+
+def subwords_of_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompts and targets as subword ids within their budgets."""
+    examples, _, _ = _subword_examples(spark, sf)
+    return examples.select("id", _joined("prompt_ids"), _joined("target_ids"))
+
+
+def subword_packed(spark: SparkSession, sf: str) -> DataFrame:
+    examples, _, params = _subword_examples(spark, sf)
+    return packing.pack(examples, params).select("id", _joined("input_ids"), _joined("attention_mask"), _joined("labels"))
+
+
+def subword_decode(spark: SparkSession, sf: str) -> DataFrame:
+    """Every whole text as ids, closed by an end token, and back."""
+    known = _subwords(spark)
+    ids = F.concat(subword_ids(F.col("text"), known), F.array(F.lit(known.size)))
+    encoded = tables.documents(spark, sf).select("doc_id", ids.alias("ids"))
+    return encoded.select("doc_id", subword_text(F.col("ids"), known).alias("decoded"))
+
+
+def subword_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each subword occurs in the documents."""
+    return subword_usage(tables.documents(spark, sf), _subwords(spark))
+
+
 # generation and scoring
 
 
@@ -521,6 +561,10 @@ QUERIES = {
     "evaluate_resumed": evaluate_resumed,
     "drop_prompt": drop_prompt,
     "caller_tokenizer": caller_tokenizer,
+    "subword_ids": subwords_of_pairs,
+    "subword_packed": subword_packed,
+    "subword_decode": subword_decode,
+    "subword_usage": subword_counts,
     "epoch_plan": epoch_plan,
     "step_token_stats": step_token_stats,
     "generate_lead": generate_lead,

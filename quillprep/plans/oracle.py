@@ -452,6 +452,7 @@ ORACLE_SQL = {
             sum(list_sum(input_ids))::BIGINT AS id_sum FROM packed GROUP BY split"""
     ),
     "generate_lead_template": _with("SELECT id, prediction FROM lead"),
+    "subword_decode": "SELECT doc_id, text AS decoded FROM documents",
 }
 ORACLE_SQL["step_token_stats"] = f"""SELECT epoch, position // 16 AS step, count(*) AS examples,
     sum(tl)::BIGINT AS target_tokens, sum(pl)::BIGINT AS prompt_tokens,
