@@ -28,7 +28,7 @@ from quillprep.params import SPLITS, ChatFormat, EvalParams, PrepParams
 from quillprep.plans import evaluate
 from quillprep.plans.prepare import fit_vocabulary, prepare_training_set
 from quillprep.session import cut_lineage, scratch_path
-from quillprep.sources import export, results, splits, tables
+from quillprep.sources import export, results, splits, store, tables
 from quillprep.streaming.prepare import start_prepare
 from quillprep.streaming.score import read_scored, start_score
 
@@ -461,6 +461,25 @@ def eval_resume_todo(spark: SparkSession, sf: str) -> DataFrame:
     return runs.remaining(predicted.select("run_id", "index", "id"), done)
 
 
+def results_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """A run's records in slices, the first committed twice and with other predictions the second time."""
+    path, run, width = scratch_path(spark, "store"), f"lead-{LEAD}", SAMPLE_SIZE
+    pairs = cut_lineage(_indexed(spark, sf))
+    records = {n: scoring.score_records(_predicted(pairs, n), SCORE) for n in (LEAD, SHORT_LEAD)}
+    first, rest = F.col("index") < width, F.col("index") >= width
+    for n, rows, name in ((LEAD, first, "first"), (LEAD, rest, "rest"), (SHORT_LEAD, first, "first")):
+        store.commit_slice(records[n].filter(rows), path, run, name)
+    return _flat(store.read_slices(spark, path))
+
+
+def eval_resume_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run has left to do by the bitmaps in its manifests; no record is read."""
+    path = scratch_path(spark, "store")
+    predicted = cut_lineage(_predicted(_indexed(spark, sf), LEAD))
+    store.commit_slice(_done(scoring.score_records(predicted, SCORE)), path, f"lead-{LEAD}", "third")
+    return store.remaining_by_bitmap(predicted.select("run_id", "index", "id"), store.finished(spark, path))
+
+
 def evaluate_resumed(spark: SparkSession, sf: str) -> DataFrame:
     """A run whose first third is in the store already, to its mean scores."""
     path = scratch_path(spark, "results")
@@ -579,6 +598,8 @@ QUERIES = {
     "rouge_mean_stemmed": rouge_mean_stemmed,
     "eval_progress": eval_progress,
     "eval_resume_todo": eval_resume_todo,
+    "eval_resume_bitmap": eval_resume_bitmap,
+    "results_commit": results_commit,
     "rouge_by_run": rouge_by_run,
     "eval_merge": eval_merge,
     "stream_prepare": stream_prepare,

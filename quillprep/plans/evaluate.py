@@ -8,12 +8,13 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillprep.functions.text import article_of, fill_template
-from quillprep.operators.runs import latest_records, progress, remaining
+from quillprep.operators.runs import latest_records, progress
 from quillprep.operators.sampling import index_prefix
 from quillprep.operators.scoring import lead_prediction, mean_scores, score_records
 from quillprep.params import INSTRUCTION_TEMPLATE, SPOT_CHECK_SAMPLES, EvalParams
-from quillprep.session import cut_lineage
-from quillprep.sources.results import append_results, read_results
+from quillprep.session import scratch_path
+from quillprep.sources.results import read_lines, read_results
+from quillprep.sources.store import commit_slice, finished, finished_of, remaining_by_bitmap
 
 Predictor = Callable[[Column], Column]
 
@@ -51,6 +52,13 @@ def run_scores(spark: SparkSession, path: str, run_id: str, n: int) -> DataFrame
     return latest_records(_scores_only(index_prefix(mine, n)))
 
 
+def run_finished(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """What a run has finished, as bitmaps: of its slices by their manifests, of its JSON lines by their keys."""
+    bitmaps = finished(spark, path).unionByName(finished_of(read_lines(spark, path).select("run_id", "index")))
+    mine = bitmaps.filter(F.col("run_id") == run_id)
+    return mine.groupBy("run_id", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
 def check_progress(spark: SparkSession, path: str, run_id: str, params: EvalParams) -> DataFrame:
     """``completed, target`` and mean scores so far of a run; safe while it is running."""
     records = run_scores(spark, path, run_id, params.num_samples)
@@ -71,35 +79,36 @@ def evaluate_run(
     ``predictor`` gets the column ``prompt``; render chat turns into it first where the model wants
     them (``with_prompt_text``). Without one, the article's lead is taken, by ``template``.
 
-    What is left to do is written once; then ``rows_per_commit`` rows along ``index`` are scored and
-    committed at a time, and a killed run goes on after its last commit. ``resume=False`` scores
-    everything again as a further attempt.
+    What is left to do, by the bitmaps of what is finished, is written once, a folder for each
+    ``rows_per_commit`` positions along ``index``. Then one such slice after another is read, scored and committed,
+    and a killed run goes on after its last commit. A slice is known by the positions it finishes, so one that
+    comes twice counts once. ``resume=False`` scores everything again as a further attempt.
     """
     spark = examples.sparkSession
-    n = params.num_samples
+    n, width = params.num_samples, params.rows_per_commit
     predictor = predictor or lead_baseline(params, template)
-    todo = index_prefix(examples, n).withColumn("run_id", F.lit(run_id))
-    done = run_scores(spark, path, run_id, n)
+    todo = index_prefix(examples, n).select(F.lit(run_id).alias("run_id"), "index", "prompt", "target")
     attempt = 0
     if resume:
-        todo = remaining(todo, done)
+        todo = remaining_by_bitmap(todo, run_finished(spark, path, run_id))
     else:
-        earlier = done.agg(F.max("attempt")).head()[0]
+        earlier = run_scores(spark, path, run_id, n).agg(F.max("attempt")).head()[0]
         attempt = 0 if earlier is None else earlier + 1
-    todo = cut_lineage(todo.select("run_id", "index", "prompt", "target"))
-    bounds = todo.agg(F.min("index"), F.max("index")).head()
-    if bounds[0] is not None:
-        first, last = bounds
-        width = params.rows_per_commit
-        for start in range(first, last + 1, width):
-            part = todo.filter(F.col("index").between(start, start + width - 1))
-            predicted = part.select(
-                "run_id",
-                "index",
-                predictor(F.col("prompt")).alias("prediction"),
-                F.col("target").alias("reference"),
-            )
-            append_results(score_records(predicted, params, attempt), path)
+    sliced = scratch_path(spark, "todo")
+    todo.withColumn("_slice", F.expr(f"index div {width}")).write.partitionBy("_slice").parquet(sliced)
+    kept = spark.read.schema(todo.schema.add("_slice", "long")).parquet(sliced)
+    # a row for each commit that follows
+    slices = kept.groupBy("_slice").agg(F.sum(F.xxhash64("index").cast("decimal(38,0)")).alias("digest"))
+    for number, digest in sorted((r["_slice"], r.digest) for r in slices.collect()):
+        part = kept.filter(F.col("_slice") == number).drop("_slice")
+        predicted = part.select(
+            "run_id",
+            "index",
+            predictor(F.col("prompt")).alias("prediction"),
+            F.col("target").alias("reference"),
+        )
+        name = f"{number * width}-{(number + 1) * width - 1}-{digest}"
+        commit_slice(score_records(predicted, params, attempt), path, run_id, name, attempt)
     return mean_scores(run_scores(spark, path, run_id, n), params.rouge_types)
 
 

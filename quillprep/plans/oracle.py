@@ -458,5 +458,11 @@ ORACLE_SQL["step_token_stats"] = f"""SELECT epoch, position // 16 AS step, count
     sum(tl)::BIGINT AS target_tokens, sum(pl)::BIGINT AS prompt_tokens,
     round((count(*) * {L} - sum(pl + tl)) / (count(*) * {L}), 6) AS padding_share
     FROM ({ORACLE_SQL["step_token_stats"]}) GROUP BY ALL"""
+ORACLE_SQL["eval_resume_bitmap"] = ORACLE_SQL["eval_resume_todo"]
+ORACLE_SQL["results_commit"] = _with(
+    f"""SELECT {RECORD.format(attempt=0).replace('run_id,', "'lead-128' AS run_id,", 1)}
+        FROM scored s WHERE (s.run_id = 'lead-32') = (index < 300)""",
+    BOTH,
+)
 ORACLE_SQL["decode_ids_joined"] = ORACLE_SQL["decode_ids"]
 ORACLE_SQL["tokenize_ids_joined"] = ORACLE_SQL["tokenize_ids"]

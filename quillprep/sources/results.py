@@ -1,29 +1,20 @@
-"""Score records as JSON lines."""
+"""Score records: JSON lines, and the committed slices beside them."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-RECORD_SCHEMA = T.StructType(
-    [
-        T.StructField("run_id", T.StringType()),
-        T.StructField("index", T.LongType()),
-        T.StructField("attempt", T.IntegerType()),
-        T.StructField("prediction", T.StringType()),
-        T.StructField("reference", T.StringType()),
-        T.StructField(
-            "scores",
-            T.StructType(
-                [T.StructField(k, T.DoubleType()) for k in ("rouge1", "rouge2", "rougeL")]
-            ),
-        ),
-    ]
-)
+from quillprep.sources.store import RECORD_SCHEMA, read_slices
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Records under a path; none if it does not exist.
+    """All records under a path, JSON lines and committed slices; none if it does not exist."""
+    return read_lines(spark, path).unionByName(read_slices(spark, path))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Records in JSON lines under a path; none if it does not exist.
 
     Blank lines are skipped. A line torn by a crash is left out, so its example is redone.
     """
@@ -40,5 +31,5 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_results(records: DataFrame, path: str) -> None:
-    """Append one slice of finished records; each run has its own folder."""
+    """Append finished records as JSON lines; each run has its own folder."""
     records.write.mode("append").partitionBy("run_id").json(path)
