@@ -30,7 +30,7 @@ from quillprep.plans.prepare import fit_vocabulary, prepare_training_set
 from quillprep.session import cut_lineage, scratch_path
 from quillprep.sources import export, results, splits, store, tables
 from quillprep.streaming.prepare import start_prepare
-from quillprep.streaming.score import read_scored, start_score
+from quillprep.streaming.score import first_scored, read_scored, start_score, start_score_remembering
 
 SAMPLE_SIZE = 300
 SAMPLE_SIZES = {"train": 400, "validation": 60, "test": 1_000_000}
@@ -526,16 +526,21 @@ def stream_prepare(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select("id", "split", "prompt_text", "target")
 
 
-def stream_score(spark: SparkSession, sf: str) -> DataFrame:
+def _landed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """A folder of predictions in files whose keys overlap; a stream may take them as one micro-batch or several."""
     reference = text.strip_edges(F.col("highlights")).alias("reference")
     index = F.substring("id", 2, 19).cast("bigint").alias("index")
     landed = scratch_path(spark, "landed")
-    # files whose keys overlap; the stream may take them as one micro-batch or several
     given = tables.pairs_of_documents(tables.table(spark, sf, "documents"))
     rows = _predicted(given.select(index, "article", reference), LEAD)
     rows = cut_lineage(rows.select("run_id", "index", "prediction", "reference"))
     for keep in ("index % 2 = 0", "index % 3 <> 1", "true"):
         rows.filter(keep).coalesce(1).write.mode("append").parquet(landed)
+    return landed, rows
+
+
+def stream_score(spark: SparkSession, sf: str) -> DataFrame:
+    landed, rows = _landed(spark, sf)
     scored = []
     for files in (1, 1_000):
         arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(landed)
@@ -546,6 +551,19 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     return scored[0].unionByName(scored[1])
 
 
+def stream_score_ttl(spark: SparkSession, sf: str) -> DataFrame:
+    """The same predictions by streams that remember a key for a day, and for no time at all."""
+    landed, rows = _landed(spark, sf)
+    scored = []
+    for remembered in ("1 day", "0 seconds"):
+        arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+        path, state = scratch_path(spark, "scored"), scratch_path(spark, "state")
+        start_score_remembering(arriving, path, state, SCORE, remembered).awaitTermination()
+        found = first_scored(read_scored(spark, path))
+        scored.append(_flat(found).withColumn("remembered", F.lit(remembered)))
+    return scored[0].unionByName(scored[1])
+
+
 QUERIES = {
     "csv_scan": csv_scan,
     "split_union": split_union,
@@ -604,4 +622,5 @@ QUERIES = {
     "eval_merge": eval_merge,
     "stream_prepare": stream_prepare,
     "stream_score": stream_score,
+    "stream_score_ttl": stream_score_ttl,
 }

@@ -458,6 +458,9 @@ ORACLE_SQL["step_token_stats"] = f"""SELECT epoch, position // 16 AS step, count
     sum(tl)::BIGINT AS target_tokens, sum(pl)::BIGINT AS prompt_tokens,
     round((count(*) * {L} - sum(pl + tl)) / (count(*) * {L}), 6) AS padding_share
     FROM ({ORACLE_SQL["step_token_stats"]}) GROUP BY ALL"""
+ORACLE_SQL["stream_score_ttl"] = ORACLE_SQL["stream_score"].replace(
+    "files_a_batch::INT AS files_a_batch", "remembered"
+).replace("(VALUES (1), (1000)) b(files_a_batch)", "(VALUES ('1 day'), ('0 seconds')) b(remembered)")
 ORACLE_SQL["eval_resume_bitmap"] = ORACLE_SQL["eval_resume_todo"]
 ORACLE_SQL["results_commit"] = _with(
     f"""SELECT {RECORD.format(attempt=0).replace('run_id,', "'lead-128' AS run_id,", 1)}
