@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quillprep.functions import arrays, rouge, text
-from quillprep.operators import audit, epochs, packing, runs, sampling, scoring
+from quillprep.operators import audit, bootstrap, epochs, packing, runs, sampling, scoring, windows
 from quillprep.operators.encoding import (
     custom_tokenizer,
     decode_ids,
@@ -348,6 +348,14 @@ def subword_counts(spark: SparkSession, sf: str) -> DataFrame:
     return subword_usage(tables.documents(spark, sf), _subwords(spark))
 
 
+def packed_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """The training examples in windows, several to each."""
+    train = _tokenized(spark, sf).filter(F.col("split") == "train")
+    examples = packing.encode_examples(train, fit_vocabulary(_tokenized(spark, sf), PREP), PREP, ["id"])
+    packed = windows.packed_windows(examples, PREP)
+    return packed.select("window", F.array_join("keys", " ").alias("keys"), _joined("input_ids"), _joined("labels"), _joined("segment_ids"), _joined("positions"))
+
+
 # generation and scoring
 
 
@@ -500,6 +508,28 @@ def rouge_by_run(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(evaluate.compare_runs(spark, path, SCORE.rouge_types))
 
 
+def _two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = _indexed(spark, sf)
+    both = _predicted(pairs, SHORT_LEAD).unionByName(_predicted(pairs, LEAD))
+    return scoring.score_records(both, SCORE)
+
+
+def _six_digits(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+def rouge_interval(spark: SparkSession, sf: str) -> DataFrame:
+    """Each run's means with the interval that other examples would leave them in."""
+    found = bootstrap.score_interval(_two_runs(spark, sf), SCORE.rouge_types)
+    return _six_digits(found, "mean", "low", "high")
+
+
+def rouge_paired_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """By how much the longer lead beats the shorter on the same examples."""
+    found = bootstrap.paired_difference(_two_runs(spark, sf), f"lead-{SHORT_LEAD}", SCORE.rouge_types)
+    return _six_digits(found, "difference", "low", "high", "above_zero")
+
+
 def eval_merge(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "results")
     pairs = cut_lineage(_indexed(spark, sf))
@@ -604,6 +634,7 @@ QUERIES = {
     "subword_usage": subword_counts,
     "epoch_plan": epoch_plan,
     "step_token_stats": step_token_stats,
+    "packed_windows": packed_windows,
     "generate_lead": generate_lead,
     "caller_predictor": caller_predictor,
     "rouge_tokens": rouge_tokens,
@@ -619,6 +650,8 @@ QUERIES = {
     "eval_resume_bitmap": eval_resume_bitmap,
     "results_commit": results_commit,
     "rouge_by_run": rouge_by_run,
+    "rouge_interval": rouge_interval,
+    "rouge_paired_difference": rouge_paired_difference,
     "eval_merge": eval_merge,
     "stream_prepare": stream_prepare,
     "stream_score": stream_score,

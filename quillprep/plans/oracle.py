@@ -461,6 +461,70 @@ ORACLE_SQL["step_token_stats"] = f"""SELECT epoch, position // 16 AS step, count
 ORACLE_SQL["stream_score_ttl"] = ORACLE_SQL["stream_score"].replace(
     "files_a_batch::INT AS files_a_batch", "remembered"
 ).replace("(VALUES (1), (1000)) b(files_a_batch)", "(VALUES ('1 day'), ('0 seconds')) b(remembered)")
+
+# A Poisson variable of mean one from 16 bits of a hash: the steps of its distribution, in units of 2^-16.
+POISSON = (24109, 48219, 60273, 64292, 65296, 65497, 65531, 65535)
+
+
+def _digit(at: str) -> str:
+    return f"(strpos('0123456789abcdef', substr(h, {at}, 1)) - 1)"
+
+
+def _bootstrap(values: str, mean: str, more: str = "") -> str:
+    """Means and the middle 95 % of 200 replicas' means, from rows of ``run_id, index, metric, x``."""
+    drawn = " + ".join(f"{_digit(f'4 * k + {i + 1}')} * {16 ** (3 - i)}" for i in range(4))
+    weight = " + ".join(f"(u >= {t})::INT" for t in POISSON)
+    return f"""SELECT run_id, metric, n, round(m, 6) AS {mean}, round(low, 6) AS low, round(high, 6) AS high{more}
+        FROM (SELECT run_id, metric, count(*) AS n, avg(x) AS m FROM ({values}) GROUP BY ALL)
+        JOIN (SELECT run_id, metric, quantile_cont(v, 0.025) AS low, quantile_cont(v, 0.975) AS high, avg((v > 0)::INT) AS above
+            FROM (SELECT run_id, metric, b, k, sum(w * x) / nullif(sum(w), 0) AS v
+                FROM (SELECT index, b, k, {weight} AS w FROM (SELECT index, b, k, {drawn} AS u
+                    FROM (SELECT index, b, md5('{SEED}:' || index || ':' || b) AS h
+                        FROM (SELECT DISTINCT index FROM ({values})), range(25) r(b)), range(8) s(k)))
+                JOIN ({values}) USING (index) GROUP BY ALL)
+            GROUP BY ALL) USING (run_id, metric)"""
+
+
+_METRICS = ("rouge1", "rouge2", "rougeL")
+ORACLE_SQL["rouge_interval"] = _with(
+    _bootstrap(" UNION ALL ".join(f"SELECT run_id, index, '{m}' AS metric, {m} AS x FROM scored" for m in _METRICS), "mean"), BOTH
+)
+ORACLE_SQL["rouge_paired_difference"] = _with(
+    _bootstrap(
+        " UNION ALL ".join(
+            f"""SELECT a.run_id, index, '{m}' AS metric, a.{m} - b.{m} AS x
+                FROM (SELECT * FROM scored WHERE run_id = 'lead-128') a JOIN (SELECT * FROM scored WHERE run_id = 'lead-32') b USING (index)"""
+            for m in _METRICS
+        ),
+        "difference",
+        ", round(above, 6) AS above_zero",
+    ),
+    BOTH,
+)
+# first-fit decreasing, an example at a time
+ORACLE_SQL["packed_windows"] = _with(
+    f"""SELECT w AS window, string_agg(id, ' ' ORDER BY nth) AS keys,
+        array_to_string(list_concat(flatten(list(list_concat(p, t) ORDER BY nth)), [2 FOR i IN range({L} - sum(size)::BIGINT)]), ',') AS input_ids,
+        array_to_string(list_concat(flatten(list(list_concat([-100 FOR i IN range(len(p))], t) ORDER BY nth)),
+            [-100 FOR i IN range({L} - sum(size)::BIGINT)]), ',') AS labels,
+        array_to_string(list_concat(flatten(list([s FOR i IN range(size)] ORDER BY nth)), [0 FOR i IN range({L} - sum(size)::BIGINT)]), ',') AS segment_ids,
+        array_to_string(list_concat(flatten(list(range(size) ORDER BY nth)), [0 FOR i IN range({L} - sum(size)::BIGINT)]), ',') AS positions
+        FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY nth) AS s FROM fitted) GROUP BY w""",
+    others={
+        "sized": """SELECT id, p, t, len(p) + len(t) AS size, row_number() OVER (ORDER BY len(p) + len(t) DESC, h, id) AS nth
+            FROM (SELECT *, md5('42:' || id) AS h FROM cut_train)""",
+        "cut_train": f"""SELECT id, p, list_slice(list_append(t, 2), 1, {L} - len(p)) AS t
+            FROM (SELECT id, list_slice(p, 1, {B}) AS p, t FROM enc WHERE split = 'train')""",
+        "filled": f"""SELECT 0::BIGINT AS nth, 0::BIGINT AS w, []::BIGINT[] AS room
+            UNION ALL
+            SELECT nth, w, CASE WHEN w > len(room) THEN list_append(room, {L} - size)
+                ELSE list_concat(room[:w - 1], [room[w] - size], room[w + 1:]) END
+            FROM (SELECT sized.nth, size, room,
+                    coalesce(list_position([r >= size FOR r IN room], TRUE), len(room) + 1) AS w
+                FROM sized, filled WHERE sized.nth = filled.nth + 1)""",
+        "fitted": "SELECT sized.*, filled.w - 1 AS w FROM sized JOIN filled USING (nth)",
+    },
+).replace("WITH ", "WITH RECURSIVE ", 1)
 ORACLE_SQL["eval_resume_bitmap"] = ORACLE_SQL["eval_resume_todo"]
 ORACLE_SQL["results_commit"] = _with(
     f"""SELECT {RECORD.format(attempt=0).replace('run_id,', "'lead-128' AS run_id,", 1)}
