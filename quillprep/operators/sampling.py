@@ -21,6 +21,10 @@ from quillprep.session import cut_lineage
 ROWS_PER_RANGE = 512
 MAX_RANGES = 1 << 20
 
+# Rows of a group that a sample in one scan may have, and the parts that it is cut by before the last cut.
+SMALL = 10_000
+SMALL_PARTS = 64
+
 _HASH_DIGITS = 13  # 52 bits: exact in a double
 
 
@@ -127,6 +131,27 @@ def sample_per_split(
     return assign_positions(rows, sizes, "split", key, seed, check_keys=check_keys)
 
 
+def sample_small(
+    rows: DataFrame, sizes: dict[str, int], group: str = "split", key: str = "id", seed: int | Column = SEED
+) -> DataFrame:
+    """The same rows as ``sample_per_split``, in one scan, for samples of at most ``SMALL`` rows.
+
+    Each task keeps the rows of the smallest hashes, and what tasks kept is cut again by ``SMALL_PARTS`` before the
+    last cut. So as many rows as the sample has leave each task: right where that is little beside what a task reads.
+    """
+    most = max(sizes.values(), default=0)
+    if most > SMALL:
+        raise ValueError(f"sample_small takes up to {SMALL} rows of a group, not {most}; use sample_per_split")
+    hashed = rows.filter(F.col(group).isin(*sizes)).withColumn("_hash", order_hash(seed, F.col(key)))
+    hashed = hashed.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(SMALL_PARTS)))
+    for parts in (["_part"], []):
+        place = F.row_number().over(Window.partitionBy(group, *parts).orderBy("_hash", key))
+        # Spark applies a limit on the number in each task before the shuffle, too
+        hashed = hashed.withColumn("_nth", place).filter(F.col("_nth") <= most)
+    wanted = F.col("_nth") <= _by_group(group, sizes, "int")
+    return hashed.filter(wanted).withColumn("index", (F.col("_nth") - 1).cast("long")).select(*rows.columns, "index")
+
+
 def index_prefix(rows: DataFrame, n: int, index: str = "index") -> DataFrame:
     """The first ``n`` positions; all rows if there are fewer."""
     return rows.filter(F.col(index) < n)

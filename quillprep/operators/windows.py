@@ -69,14 +69,15 @@ def with_ranks(rows: DataFrame, group: str, key: str, seed: int | str, total: in
     Rows are sorted inside a range of the hash, so a group of any size is spread. ``key`` must identify a row.
     """
     bits = max(0, -(-total // ROWS_PER_RANGE) - 1).bit_length()
-    digits = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long")
-    hashed = rows.withColumn("_hash", order_hash(seed, F.col(key))).withColumn("_range", F.shiftright(digits, 32 - bits))
-    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counted = hashed.groupBy(group, "_range").agg(F.count("*").alias("_n"))
-    starts = counted.select(group, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(group, "_range").orderBy("_hash", key)
-    ranked = hashed.withColumn("_nth", F.row_number().over(within) - 1).join(starts, [group, "_range"])
-    return ranked.withColumn("rank", F.col("_start") + F.col("_nth")).select(*rows.columns, "rank")
+    hashed, span, count, start, nth = (f"_rank_{n}" for n in ("hash", "range", "count", "start", "nth"))
+    digits = F.conv(F.substring(hashed, 1, 8), 16, 10).cast("long")
+    cut = rows.withColumn(hashed, order_hash(seed, F.col(key))).withColumn(span, F.shiftright(digits, 32 - bits))
+    before = Window.partitionBy(group).orderBy(span).rowsBetween(Window.unboundedPreceding, -1)
+    counted = cut.groupBy(group, span).agg(F.count("*").alias(count))
+    starts = counted.select(group, span, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(start))
+    within = Window.partitionBy(group, span).orderBy(hashed, key)
+    ranked = cut.withColumn(nth, F.row_number().over(within) - 1).join(starts, [group, span])
+    return ranked.withColumn("rank", F.col(start) + F.col(nth)).select(*rows.columns, "rank")
 
 
 def assign_windows(lengths: DataFrame, budget: int, key: str = "id", seed: int | str = 0) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quillprep.functions import arrays, rouge, text
-from quillprep.operators import audit, bootstrap, epochs, packing, runs, sampling, scoring, windows
+from quillprep.operators import audit, bootstrap, budgets, epochs, packing, runs, sampling, scoring, windows
 from quillprep.operators.encoding import (
     custom_tokenizer,
     decode_ids,
@@ -34,7 +34,9 @@ from quillprep.streaming.score import first_scored, read_scored, start_score, st
 
 SAMPLE_SIZE = 300
 SAMPLE_SIZES = {"train": 400, "validation": 60, "test": 1_000_000}
+SMALL_SIZES = {"train": 100, "validation": 20, "test": 1_000}
 PREFIX = 250
+BUDGETS = [64, 128, 256, 512, 1024, 2048]
 PREP = PrepParams(on_null="drop")
 SCORE = EvalParams(use_stemmer=False, pattern="unicode")
 LEAD = 128
@@ -132,6 +134,12 @@ def sample_per_split(spark: SparkSession, sf: str) -> DataFrame:
     return sampled.select("id", "split", "article", "highlights")
 
 
+def sample_small(spark: SparkSession, sf: str) -> DataFrame:
+    """Small samples of each split in one scan."""
+    pairs = tables.document_pairs(spark, sf)
+    return sampling.sample_small(pairs, SMALL_SIZES, "split", "id", PREP.seed).select("id", "split", "index", "highlights")
+
+
 def sample_index(spark: SparkSession, sf: str) -> DataFrame:
     rows = tables.all_pairs(spark, sf).select("id", "split")
     return sampling.sample_per_split(rows, dict.fromkeys(SPLITS), "id", PREP.seed)
@@ -348,6 +356,23 @@ def subword_counts(spark: SparkSession, sf: str) -> DataFrame:
     return subword_usage(tables.documents(spark, sf), _subwords(spark))
 
 
+def budget_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """The share of each split's examples that each budget would cut, from sketches by split and language."""
+    sketches = cut_lineage(budgets.length_sketches(_tokenized(spark, sf), ["split", "lang"]))
+    curve = budgets.budget_curve(budgets.merge_sketches(sketches, ["split"]), ["split"], BUDGETS)
+    return curve.withColumns({f"{c}_cut": F.round(f"{c}_cut", 3) for c in budgets.LENGTHS})
+
+
+def _train_lengths(spark: SparkSession, sf: str) -> DataFrame:
+    train = tables.all_pairs(spark, sf).filter(F.col("split") == "train")
+    return train.select("id", F.length("article").alias("length"))
+
+
+def epoch_plan_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two epochs whose steps hold examples of like length."""
+    return epochs.epoch_plan_bucketed(_train_lengths(spark, sf), PREP, epochs=2).drop("length")
+
+
 def packed_windows(spark: SparkSession, sf: str) -> DataFrame:
     """The training examples in windows, several to each."""
     train = _tokenized(spark, sf).filter(F.col("split") == "train")
@@ -406,6 +431,12 @@ def caller_predictor(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs(spark, sf).select("id", predict(F.col("prompt")).alias("prediction"))
 
 
+def caller_predictor_budget(spark: SparkSession, sf: str) -> DataFrame:
+    """The same predictions in batches of bounded size, sorted by length."""
+    prompts = _pairs(spark, sf).select("id", "prompt")
+    return scoring.predict_by_budget(prompts, _last_words, budget=20_000)
+
+
 def rouge_tokens(spark: SparkSession, sf: str) -> DataFrame:
     tokens = rouge.scoring_tokens(F.col("text"), SCORE.pattern)
     docs = tables.documents(spark, sf).select("doc_id", tokens.alias("t"))
@@ -602,6 +633,7 @@ QUERIES = {
     "export_parquet": export_parquet,
     "sample_exact": sample_exact,
     "sample_per_split": sample_per_split,
+    "sample_small": sample_small,
     "sample_index": sample_index,
     "index_prefix": index_prefix,
     "clean_whitespace": clean_whitespace,
@@ -635,8 +667,11 @@ QUERIES = {
     "epoch_plan": epoch_plan,
     "step_token_stats": step_token_stats,
     "packed_windows": packed_windows,
+    "budget_curve": budget_curve,
+    "epoch_plan_bucketed": epoch_plan_bucketed,
     "generate_lead": generate_lead,
     "caller_predictor": caller_predictor,
+    "caller_predictor_budget": caller_predictor_budget,
     "rouge_tokens": rouge_tokens,
     "rouge_tokens_stemmed": rouge_tokens_stemmed,
     "rouge1_f": _rouge("rouge1"),

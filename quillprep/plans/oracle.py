@@ -501,6 +501,35 @@ ORACLE_SQL["rouge_paired_difference"] = _with(
     ),
     BOTH,
 )
+ORACLE_SQL["sample_small"] = _with(
+    f"""SELECT id, split, index, highlights
+        FROM (SELECT *, {_position('id', 'split')} AS index FROM pairs_docs)
+        WHERE index < CASE split WHEN 'train' THEN 100 WHEN 'validation' THEN 20 ELSE 1000 END"""
+)
+ORACLE_SQL["caller_predictor_budget"] = ORACLE_SQL["caller_predictor"]
+ORACLE_SQL["budget_curve"] = _with(
+    """SELECT split, b::BIGINT AS budget, count(*) AS n, round(avg((len(pt) > b)::INT), 3) AS prompt_cut,
+        round(avg((len(tt) + 1 > b)::INT), 3) AS target_cut, round(avg((len(pt) + len(tt) + 1 > b)::INT), 3) AS whole_cut
+        FROM toks, (VALUES (64), (128), (256), (512), (1024), (2048)) v(b) GROUP BY ALL"""
+)
+ORACLE_SQL["epoch_plan_bucketed"] = _with(
+    f"""SELECT id, epoch::INT AS epoch, position, position AS micro_batch, position // 16 AS step
+        FROM (SELECT id, epoch, 16 * step + nth % 16 AS position FROM ranked JOIN steps USING (epoch, stratum, mine)
+            UNION ALL SELECT id, epoch, coalesce(16 * n, 0) + row_number() OVER (PARTITION BY epoch ORDER BY
+                md5('{SEED}/' || epoch || '/rest:' || id), id) - 1
+                FROM ranked LEFT JOIN (SELECT epoch, count(*) AS n FROM steps GROUP BY epoch) USING (epoch)
+                ANTI JOIN steps USING (epoch, stratum, mine))""",
+    others={
+        "stratified": """SELECT id, (SELECT count(*) FROM (SELECT unnest(quantile_disc(length(article),
+                [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875])) AS c FROM pairs WHERE split = 'train') WHERE length(article) > c) AS stratum
+            FROM pairs WHERE split = 'train'""",
+        "ranked": f"""SELECT *, nth // 16 AS mine FROM (SELECT id, stratum, epoch, row_number() OVER (PARTITION BY epoch, stratum
+            ORDER BY md5('{SEED}/' || epoch || ':' || id), id) - 1 AS nth FROM stratified, range(2) e(epoch))""",
+        "steps": f"""SELECT epoch, stratum, mine, row_number() OVER (PARTITION BY epoch
+            ORDER BY md5('{SEED}/' || epoch || '/steps:' || stratum || '-' || mine), stratum || '-' || mine) - 1 AS step
+            FROM (SELECT epoch, stratum, mine FROM ranked GROUP BY ALL HAVING count(*) = 16)""",
+    },
+)
 # first-fit decreasing, an example at a time
 ORACLE_SQL["packed_windows"] = _with(
     f"""SELECT w AS window, string_agg(id, ' ' ORDER BY nth) AS keys,
