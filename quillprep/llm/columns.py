@@ -23,6 +23,19 @@ def words(text: str) -> Column:
     return F.filter(F.split(text_or_empty(text), GAP), lambda w: w != "")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that ``df`` does not have, made from these."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bucket_bits(rows: int, per_bucket: int) -> int:
     """How many hash bits give buckets of about ``per_bucket`` rows."""
     return max(0, -(-rows // per_bucket) - 1).bit_length()
@@ -37,19 +50,18 @@ def running_total(
     summed with map-side combining, their sums are accumulated (a row per piece), and rows are only
     sorted inside a piece, so a group of any size is spread. ``group`` columns must not be null.
     """
-    tagged = df.withColumn("_bucket", bucket).withColumn("_amount", amount.cast("long"))
-    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    at, add, base, within = unused(df, "bucket", "amount", "base", "within")
+    tagged = df.withColumn(at, bucket).withColumn(add, amount.cast("long"))
+    earlier = Window.partitionBy(*group).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     bases = (
-        tagged.groupBy(*group, "_bucket")
-        .agg(F.sum("_amount").alias("_sum"))
-        .select(*group, "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
-    )
-    inside = (
-        Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        tagged.groupBy(*group, at)
+        .agg(F.sum(add).alias(base))
+        .select(*group, at, F.coalesce(F.sum(base).over(earlier), F.lit(0)).alias(base))
     )
+    inside = Window.partitionBy(*group, at).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        tagged.withColumn("_within", F.coalesce(F.sum("_amount").over(inside), F.lit(0)))
-        .join(bases, [*group, "_bucket"])
-        .withColumn(name, F.col("_base") + F.col("_within"))
-        .drop("_bucket", "_amount", "_within", "_base")
+        tagged.withColumn(within, F.coalesce(F.sum(add).over(inside), F.lit(0)))
+        .join(bases, [*group, at])
+        .withColumn(name, F.col(base) + F.col(within))
+        .drop(at, add, within, base)
     )

@@ -72,9 +72,8 @@ def op7_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of each document among 40 shards, and its shard among 41."""
-    placed = sharding.shard_documents(
-        table(spark, sf_dir, "documents"), sharding.layout(40), sharding.layout(41)
-    )
+    leaves = sharding.layout(40)
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), leaves, sharding.with_region(leaves))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "region", "rack"
     )

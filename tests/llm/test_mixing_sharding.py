@@ -1,10 +1,12 @@
+import math
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillprep.llm.mixing import MixParams, mix, mixed_documents
-from quillprep.llm.sharding import layout, place, shard_documents, with_shards
+from quillprep.llm.sharding import LEVELS, Leaf, descend, layout, place, shard_documents, with_region, with_shards
 
 
 def brute_targets(sizes, weights=(5, 2, 1), cap=3):
@@ -96,3 +98,80 @@ def test_shards_of_nothing(docs_of):
     assert shard_documents(none, layout(4)).count() == 0
     out = with_shards(docs_of((1, "a"), (1, "a"), (None, None)), layout(1))
     assert sorted(r.slot for r in out.collect()) == [0, 1, 2] and {"text", "source"} < set(out.columns)
+
+
+def hashes(spark, keys, leaves):
+    """Spark's hash of each key with each node: everything else is worked out by ``brute_descent``."""
+    names = {(level, getattr(leaf, level)) for leaf in leaves for level in LEVELS}
+    rows = spark.createDataFrame([(k, *n) for k in keys for n in names], "id long, level string, name int")
+    return {(r.id, r.level, r["name"]): r.h for r in rows.withColumn("h", F.xxhash64("id", "level", "name")).collect()}
+
+
+def brute_descent(key, leaves, hashed):
+    path = []
+    for level in LEVELS:
+        below = [leaf for leaf in leaves if [getattr(leaf, c) for c in LEVELS[: len(path)]] == path]
+
+        def arrival(child, level=level, below=below):
+            u = (((hashed[key, level, child] % (1 << 64)) >> 11) + 0.5) * 2.0**-53
+            return -math.log(u) / math.fsum(leaf.weight for leaf in below if getattr(leaf, level) == child)
+
+        path.append(min({getattr(leaf, level) for leaf in below}, key=lambda c: (arrival(c), c)))
+    return tuple(path)
+
+
+def paths(spark, keys, leaves):
+    rows = spark.createDataFrame([(k,) for k in keys], "id long")
+    return {r.id: (r.region, r.rack, r.shard) for r in descend(rows, leaves, ["id"]).collect()}
+
+
+def test_descent_against_an_independent_one(spark):
+    leaves = (*layout(13, 3, 2, {2: 4.0, 7: 0.3}), Leaf(13, 9, 0, 2.0), Leaf(14, 9, 0, 0.5))
+    keys = [None, *range(-400, 800)]
+    hashed = hashes(spark, keys, leaves)
+    assert paths(spark, keys, leaves) == {k: brute_descent(k, leaves, hashed) for k in keys}
+
+
+def test_subtrees_take_their_share(spark):
+    leaves = layout(20, weights={3: 3.0, 11: 0.25})
+    share = Counter(p[2] for p in paths(spark, range(20_000), leaves).values())
+    total = sum(leaf.weight for leaf in leaves)
+    for leaf in leaves:
+        want = 20_000 * leaf.weight / total
+        assert abs(share[leaf.shard] - want) < 5 * math.sqrt(want)
+
+
+def test_movement_stays_in_changed_subtrees(spark):
+    keys = range(20_000)
+    for changed in ({3: 3.0}, {3: 0.2}, {3: 3.0, 4: 0.5}):
+        old, new = paths(spark, keys, layout(30)), paths(spark, keys, layout(30, weights=changed))
+        grew = sum(changed.values()) > len(changed)
+        for k in keys:
+            for depth in range(3):
+                # above this level the key took the same way, into the changed subtree or not
+                if old[k][:depth] == new[k][:depth] and old[k][depth] != new[k][depth]:
+                    subtree = [(0, 0, 3)[:depth], (0, 0, 4)[:depth]]
+                    assert old[k][:depth] in subtree
+                    if len(changed) == 1:
+                        assert (new[k] if grew else old[k])[depth] == (0, 0, 3)[depth]
+                    break
+        assert any(old[k] != new[k] for k in keys)
+
+
+def test_one_more_shard_only_receives(spark):
+    leaves, keys = layout(17, 3, 2), range(20_000)
+    old, new = paths(spark, keys, leaves), paths(spark, keys, with_region(leaves))
+    assert all(new[k] in (old[k], (3, 6, 17)) for k in keys)
+    assert 20_000 / 18 * 0.85 < sum(new[k][2] == 17 for k in keys) < 20_000 / 18 * 1.15
+
+
+def test_plan_does_not_grow_with_shards(spark):
+    rows = spark.range(10)
+    sizes = []
+    for n in (40, 2_000):
+        plan = descend(rows, layout(n), ["id"])
+        sizes.append(plan._jdf.queryExecution().executedPlan().toString().count("xxhash64"))
+        assert plan.count() == 10 and all(0 <= r.shard < n for r in plan.collect())
+    assert sizes[0] == sizes[1]
+    with pytest.raises(ValueError):
+        descend(rows, (), ["id"])
