@@ -1,4 +1,6 @@
 import random
+import time
+import tracemalloc
 
 import pytest
 
@@ -77,3 +79,43 @@ def test_empty_sides(spark, docs_of):
     assert contained_items(docs.filter("false"), items).count() == 0
     assert contained_items(docs, items.filter("false")).count() == 0
     assert clean_documents(docs, items.filter("false")).count() == docs.count()
+
+
+def test_tiling_is_exactly_the_published_one():
+    rng = random.Random(7)
+    for _ in range(400):
+        item = [f"w{rng.randrange(6)}" for _ in range(rng.choice([3, 8, 25]))]
+        pieces = [item[a : a + rng.randrange(2, 12)] for a in (rng.randrange(len(item)) for _ in range(6))]
+        text = [w for p in pieces for w in [*p, f"x{rng.randrange(9)}"][: len(p) + rng.randrange(2)]]
+        got = Block([(0, [w.encode() for w in item])], 3).matches(" ".join(text), 1e-9)
+        assert (round(got[0][1] * len(item)) if got else 0) == brute_tiling(" ".join(item), " ".join(text), 3)
+
+
+def peak_of(block, text, coverage):
+    tracemalloc.start()
+    start = time.process_time()
+    found = block.matches(text, coverage)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return found, peak / 1e6, time.process_time() - start
+
+
+def test_shared_template_takes_no_square():
+    """One text with every item of a benchmark whose items share twenty words."""
+    template = " ".join(f"t{i}" for i in range(20))
+    items = [f"{template} " + " ".join(f"i{k}w{j}" for j in range(20)) for k in range(10_000)]
+    block = Block([(k, tokens(t)) for k, t in enumerate(items)], 5)
+    found, mb, seconds = peak_of(block, " stop ".join(items), 0.5)
+    assert sorted(f[0] for f in found) == list(range(10_000)) and {f[1:] for f in found} == {(1.0, 1)}
+    assert mb < 500 and seconds < 120
+    # the template alone covers half of each item, and no more
+    found, mb, _ = peak_of(block, template, 0.6)
+    assert found == [] and mb < 50
+
+
+def test_repeated_word_takes_no_square():
+    block = Block([(0, tokens("w " * 400)), (1, tokens("w " * 30 + "x " * 100))], 5)
+    found, mb, seconds = peak_of(block, "w " * 200_000, 0.5)
+    assert found == [(0, 1.0, 1)] and mb < 300 and seconds < 60
+    found, mb, _ = peak_of(block, "w " * 399 + "y " + "w " * 20_000, 0.2)
+    assert [(k, round(share, 6)) for k, share, _ in found] == [(0, 1.0), (1, round(30 / 130, 6))] and mb < 300
