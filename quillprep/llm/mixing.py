@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quillprep.llm.columns import bucket_bits, running_total, text_or_empty, word_count
+from quillprep.llm.columns import bucket_bits, running_total, text_or_empty, unused, word_count
 from quillprep.session import cut_lineage
 
 # 2^30 points and the odd number nearest to their golden section.
@@ -212,26 +212,27 @@ def mixed_documents(docs: DataFrame, params: MixParams = MixParams(), **columns:
     Rows equal in id, text and source are interchangeable and share their copies evenly.
     """
     _, plan = mix(docs, params, **columns)
-    keys = ["_place", "_source", "_known"]
-    shares = (
-        plan.groupBy(
-            F.col("place").alias("_place"),
-            F.coalesce("source", F.lit("")).alias("_source"),
-            F.col("source").isNotNull().alias("_known"),
-        )
-        .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    )
     names = {"id_col": "doc_id", "text_col": "text", "source_col": "source"} | columns
-    source = F.col(names["source_col"])
-    place = digest(names["id_col"], names["text_col"])
-    tagged = docs.select("*", place.alias("_place"), F.coalesce(source, F.lit("")).alias("_source"), source.isNotNull().alias("_known"))
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(k) for k in keys]))
-    own = F.expr("cast(_copies div _rows + if(_nth <= _copies % _rows, 1, 0) as int)")
+    *keys, piece, copies, rows, before, nth, times = unused(
+        docs, "place", "source", "known", "piece", "copies", "rows", "before", "nth", "times"
+    )
+    source, place = F.col(names["source_col"]), digest(names["id_col"], names["text_col"])
+    key = lambda c, p: [p.alias(keys[0]), F.coalesce(c, F.lit("")).alias(keys[1]), c.isNotNull().alias(keys[2])]
+    shares = plan.groupBy(*key(F.col("source"), F.col("place"))).agg(F.sum("copies").alias(copies), F.count("*").alias(rows))
+    # written, so that pieces of the input are the same wherever they are read
+    tagged = cut_lineage(docs.select("*", *key(source, place), F.spark_partition_id().alias(piece)))
+    earlier = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = tagged.groupBy(*keys, piece).agg(F.count("*").alias(before))
+    pieces = pieces.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0))).join(shares, keys)
+    # equal rows are numbered in the pieces they came in: one that is repeated often is spread
+    within = F.row_number().over(Window.partitionBy(*keys, piece).orderBy(*keys))
+    own = F.expr(f"cast({copies} div {rows} + if({nth} <= {copies} % {rows}, 1, 0) as int)")
     return (
-        tagged.join(shares, keys)
-        .withColumn("_nth", nth)
-        .withColumn("_times", own)
-        .filter("_times > 0")
-        .withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .drop(*keys, "_copies", "_rows", "_nth", "_times")
+        tagged.withColumn(nth, within)
+        .join(pieces, [*keys, piece])
+        .withColumn(nth, F.col(nth) + F.col(before))
+        .withColumn(times, own)
+        .filter(F.col(times) > 0)
+        .withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from quillprep.llm.arrow import Lists, map_lists
+from quillprep.llm.columns import unused
 from quillprep.llm.components import components
 from quillprep.session import cut_lineage
 
@@ -247,9 +248,9 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, params: SimHashParams = SimHashParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, with all its columns: the smallest id's, of repeated rows any one."""
     firsts = near_duplicates(docs, params, id_col, text_col).filter("first")
-    key = lambda c: [F.coalesce(c.cast("string"), F.lit("")).alias("_id"), c.isNull().alias("_none")]
-    names = ["_id", "_none", "_digest"]
-    kept = firsts.select(*key(F.col("doc_id")), F.col("digest").alias("_digest")).distinct()
-    tagged = docs.select("*", *key(F.col(id_col)), F.xxhash64(text_col).alias("_digest"))
+    names = unused(docs, "id", "none", "digest")
+    key = lambda c, d: [F.coalesce(c.cast("string"), F.lit("")).alias(names[0]), c.isNull().alias(names[1]), d.alias(names[2])]
+    kept = firsts.select(*key(F.col("doc_id"), F.col("digest"))).distinct()
+    tagged = docs.select("*", *key(F.col(id_col), F.xxhash64(text_col)))
     # combines before the shuffle, so a row that is repeated often meets itself in pieces
     return tagged.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)
