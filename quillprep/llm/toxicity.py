@@ -105,38 +105,70 @@ class Decoder:
         self.log = np.log(p3).ravel().tolist()
 
     def restore(self, token: str) -> str:
-        """The likeliest reading of a lower-cased token, which may hold spaces; words joined by one space."""
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        """The likeliest reading of a lower-cased token, which may hold spaces; words joined by one space.
+
+        A state is the last two letter classes. It keeps its score and a chain of back pointers, a pair of what came
+        before and a character, which is read once at the end. Where a single state is left, all readings agree so far:
+        the chain is read and begins anew, so it stays short except over stretches of doubt.
+        """
         log = self.log
+        settled: list[str] = []
+        # a chain without a before is settled; its character is the last one of the text
+        states: dict[tuple[int, int], tuple[float, _Chain]] = {(0, 0): (0.0, (None, ""))}
         for c in token:
-            following: dict[tuple[int, int], tuple[float, str]] = {}
-
-            def offer(state: tuple[int, int], score: float, text: str, following=following) -> None:
+            letter = c.isalpha()
+            if len(states) == 1:
+                (((a, b), (score, chain)),) = states.items()
+                if chain[0] is not None:
+                    settled.append(_read(chain))
+                    chain = (None, chain[1])
+                    states = {(a, b): (score, chain)}
+                if letter and chain[1] != c:
+                    k = letter_class(c)
+                    settled.append(c)
+                    states = {(b, k): (score + 0.0 + log[(a * SIZE + b) * SIZE + k], (None, c))}
+                    continue
+            following: dict[tuple[int, int], tuple[float, _Chain]] = {}
+
+            def offer(state: tuple[int, int], score: float, chain: _Chain, following=following) -> None:
                 held = following.get(state)
                 if held is None or score > held[0]:
-                    following[state] = score, text
+                    following[state] = score, chain
 
-            letter = c.isalpha()
             emits = [(c, 0.0)] if letter else [(x, IMITATED) for x in IMITATES.get(c, "")]
-            for (a, b), (score, text) in states.items():
+            for (a, b), (score, chain) in states.items():
                 for x, cost in emits:
                     k = letter_class(x)
-                    offer((b, k), score + cost + log[(a * SIZE + b) * SIZE + k], text + x)
-                    if b == k and text.endswith(x):
-                        offer((a, b), score + cost + DROPPED_REPEAT, text)
+                    offer((b, k), score + cost + log[(a * SIZE + b) * SIZE + k], (chain, x))
+                    if b == k and chain[1] == x:
+                        offer((a, b), score + cost + DROPPED_REPEAT, chain)
                 if not letter:
                     if not c.isdigit():
-                        offer((a, b), score + (DROPPED_SIGN if emits else DROPPED_GAP), text)
+                        offer((a, b), score + (DROPPED_SIGN if emits else DROPPED_GAP), chain)
                     gap = KEPT_OTHER if c.isdigit() else DROPPED_SIGN if emits else KEPT_GAP
                     if b:
-                        offer((b, 0), score + gap + log[(a * SIZE + b) * SIZE], text + " ")
+                        offer((b, 0), score + gap + log[(a * SIZE + b) * SIZE], (chain, " "))
                     else:
-                        offer((a, b), score + gap, text)
+                        offer((a, b), score + gap, chain)
             states = following
-        ended = (
-            (score + (log[(a * SIZE + b) * SIZE] if b else 0.0), text) for (a, b), (score, text) in states.items()
-        )
-        return " ".join(max(ended)[1].split()) if states else ""
+        ended = [(score + (log[(a * SIZE + b) * SIZE] if b else 0.0), chain) for (a, b), (score, chain) in states.items()]
+        if not ended:
+            return ""
+        best = max(score for score, _ in ended)
+        settled.append(max(_read(chain) for score, chain in ended if score == best))
+        return " ".join("".join(settled).split())
+
+
+_Chain = tuple["_Chain | None", str]
+
+
+def _read(chain: _Chain) -> str:
+    """The characters of a chain that are not settled yet."""
+    out = []
+    while chain[0] is not None:
+        out.append(chain[1])
+        chain = chain[0]
+    return "".join(reversed(out))
 
 
 def collapse(word: str) -> str:

@@ -1,3 +1,4 @@
+import time
 from zlib import crc32
 
 import numpy as np
@@ -91,6 +92,25 @@ def test_viterbi_is_the_best_path(decoder, token):
     assert decoder.restore(token) in brute_restore(decoder, token)
 
 
+@pytest.mark.parametrize("piece", ["a7f3kq0+zl9x/", "1!", "ab", "s t "])
+def test_long_tokens_take_linear_time(decoder, piece):
+    took = []
+    for n in (50_000, 400_000):
+        token = piece * (n // len(piece))
+        start = time.process_time()
+        restored = decoder.restore(token)
+        took.append(time.process_time() - start)
+        assert restored.count(" ") <= len(token) and set(restored) <= set(" abcdefghijklmnopqrstuvwxyz")
+    assert took[1] < 8 * max(took[0], 0.05) * 2.5 and took[1] < 60
+
+
+def test_long_tokens_read_like_their_parts(decoder):
+    # clean letters between doubtful stretches settle what came before them
+    token = "".join(f"{'abcdefgh'[k % 8]}l0s3rxq" for k in range(400))
+    restored = decoder.restore(token)
+    assert restored.count("loser") > 300 and len(restored) <= len(token)
+
+
 def table(spark, n=400):
     rows, labels = [], []
     for i in range(n):
