@@ -18,7 +18,8 @@ points, the end exclusive.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -244,6 +245,29 @@ def train(found: DataFrame, params: PiiParams) -> dict[tuple[int, tuple[int, ...
     return {(kind, shapes): model.chance(kind, shapes) for kind, shapes, _, _ in soft}
 
 
+class Taken:
+    """Stretches of a text that spans hold, merged and in order."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def add(self, start: int, end: int) -> bool:
+        """Take a stretch if nothing in it is taken. Only the last one that begins before its end can reach into it."""
+        at = bisect_left(self.starts, end)
+        if at and self.ends[at - 1] > start:
+            return False
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+        return True
+
+
 def find(docs: DataFrame, params: PiiParams = PiiParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, base, added`` for each row: lists of ``(start, kind, end)``."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -262,12 +286,11 @@ def find(docs: DataFrame, params: PiiParams = PiiParams(), id_col: str = "doc_id
             base, added = [], []
             for spans in b["found"]:
                 own = [(s["start"], s["kind"], s["end"]) for s in spans if s["base"]]
-                taken, more = [(s, e) for s, _, e in own], []
+                taken, more = Taken((s, e) for s, _, e in own), []
                 likely = [(chances.value.get((s["kind"], tuple(s["shape"])), 0.0), s) for s in spans if not s["base"]]
                 for p, s in sorted(likely, key=lambda x: (-x[0], x[1]["start"], x[1]["kind"])):
-                    if p >= params.threshold and all(s["end"] <= a or e <= s["start"] for a, e in taken):
+                    if p >= params.threshold and taken.add(s["start"], s["end"]):
                         more.append((s["start"], s["kind"], s["end"]))
-                        taken.append((s["start"], s["end"]))
                 as_rows = lambda xs: [{"start": s, "kind": k, "end": e} for s, k, e in sorted(xs)]
                 base.append(as_rows(own))
                 added.append(as_rows(more))

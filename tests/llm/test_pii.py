@@ -1,10 +1,11 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
-from quillprep.llm.pii import KINDS, PiiParams, base_spans, candidates, digits_of, estimate, find, luhn
+from quillprep.llm.pii import KINDS, PiiParams, Taken, base_spans, candidates, digits_of, estimate, find, luhn
 
 PATTERNS = [
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -76,3 +77,22 @@ def test_empty(docs_of):
 @pytest.mark.parametrize("text", ["+" * 5000, "1 " * 5000 + "a", "1.2.3." * 3000, "(at) " * 3000, "1-" * 9000])
 def test_long_runs_end(text):
     assert isinstance(candidates(text), list)
+
+
+def test_taken_against_all_pairs():
+    rng = random.Random(4)
+    for _ in range(300):
+        spans = [(s, s + rng.randrange(1, 9)) for s in (rng.randrange(120) for _ in range(12))]
+        held = spans[:4]
+        taken = Taken(held)
+        for s, e in spans[4:]:
+            free = all(e <= a or b <= s for a, b in held)
+            assert taken.add(s, e) == free
+            held += [(s, e)] * free
+
+
+def test_text_of_many_numbers(docs_of):
+    text = "\n".join(f"call me at +49 30 {k:07d}, card or not 4{k:011d} ok" for k in range(50_000))
+    start = time.time()
+    (row,) = find(docs_of((1, text))).collect()
+    assert len(row.base) >= 50_000 and time.time() - start < 120
