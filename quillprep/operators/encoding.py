@@ -27,18 +27,16 @@ def _like(lists: pa.Array, values: pa.Array) -> pa.Array:
 def lookup_ids(tokens: Column, lookup: Lookup) -> Column:
     """Ids of a token array through a broadcast vocabulary: no shuffle, a batch at a time.
 
-    The index is built once a task, and asked once for each distinct token of a batch.
+    Each distinct token of a batch is looked up once, by Arrow.
     """
     known = lookup.tokens
 
     @F.arrow_udf(IDS)
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = {token: number for number, token in enumerate(known.value.to_pylist())}
         for lists in batches:
             flat = lists.flatten().dictionary_encode()
-            ids = [index.get(token, UNK_ID) for token in flat.dictionary.to_pylist()]
-            found = pa.array(ids, pa.int32()).take(flat.indices)
-            yield _like(lists, pc.fill_null(found, UNK_ID))
+            ids = pc.fill_null(pc.index_in(flat.dictionary, value_set=known.value), UNK_ID)
+            yield _like(lists, pc.fill_null(ids.take(flat.indices), UNK_ID))
 
     return ids_of(tokens)
 

@@ -48,8 +48,16 @@ def _joined(column: str) -> Column:
     return F.array_join(F.col(column).cast("array<string>"), ",").alias(column)
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.documents(spark, sf, tables.idle_cores(spark, sf))
+
+
+def _all_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.all_pairs(spark, sf, tables.idle_cores(spark, sf))
+
+
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return prompt_target_pairs(tables.all_pairs(spark, sf), PREP)
+    return prompt_target_pairs(_all_pairs(spark, sf), PREP)
 
 
 def _tokenized(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,12 +161,12 @@ def index_prefix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_whitespace(spark: SparkSession, sf: str) -> DataFrame:
-    docs = tables.documents(spark, sf)
+    docs = _documents(spark, sf)
     return docs.select("doc_id", text.clean_whitespace(F.col("text")).alias("cleaned"))
 
 
 def strip_target(spark: SparkSession, sf: str) -> DataFrame:
-    docs = tables.documents(spark, sf)
+    docs = _documents(spark, sf)
     padded = F.concat(F.lit(" \t\n "), "text", F.lit("\n  "))
     return docs.select("doc_id", text.strip_edges(padded).alias("stripped"))
 
@@ -289,7 +297,7 @@ def prepare_from_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 def caller_tokenizer(spark: SparkSession, sf: str) -> DataFrame:
     ids = custom_tokenizer(_word_lengths)(F.col("text")).alias("ids")
-    return tables.documents(spark, sf).select("doc_id", ids).select("doc_id", _joined("ids"))
+    return _documents(spark, sf).select("doc_id", ids).select("doc_id", _joined("ids"))
 
 
 def drop_prompt(spark: SparkSession, sf: str) -> DataFrame:
@@ -347,13 +355,13 @@ def subword_decode(spark: SparkSession, sf: str) -> DataFrame:
     """Every whole text as ids, closed by an end token, and back."""
     known = _subwords(spark)
     ids = F.concat(subword_ids(F.col("text"), known), F.array(F.lit(known.size)))
-    encoded = tables.documents(spark, sf).select("doc_id", ids.alias("ids"))
+    encoded = _documents(spark, sf).select("doc_id", ids.alias("ids"))
     return encoded.select("doc_id", subword_text(F.col("ids"), known).alias("decoded"))
 
 
 def subword_counts(spark: SparkSession, sf: str) -> DataFrame:
     """How often each subword occurs in the documents."""
-    return subword_usage(tables.documents(spark, sf), _subwords(spark))
+    return subword_usage(_documents(spark, sf), _subwords(spark))
 
 
 def budget_curve(spark: SparkSession, sf: str) -> DataFrame:
@@ -385,7 +393,7 @@ def packed_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _eval_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.all_pairs(spark, sf).select(
+    return _all_pairs(spark, sf).select(
         "id", "article", text.strip_edges(F.col("highlights")).alias("reference")
     )
 
@@ -439,13 +447,13 @@ def caller_predictor_budget(spark: SparkSession, sf: str) -> DataFrame:
 
 def rouge_tokens(spark: SparkSession, sf: str) -> DataFrame:
     tokens = rouge.scoring_tokens(F.col("text"), SCORE.pattern)
-    docs = tables.documents(spark, sf).select("doc_id", tokens.alias("t"))
+    docs = _documents(spark, sf).select("doc_id", tokens.alias("t"))
     return docs.select("doc_id", F.size("t").alias("n"), F.array_join("t", " ").alias("tokens"))
 
 
 def rouge_tokens_stemmed(spark: SparkSession, sf: str) -> DataFrame:
     tokens = rouge.stem_tokens(rouge.scoring_tokens(F.col("text"), SCORE.pattern))
-    docs = tables.documents(spark, sf)
+    docs = _documents(spark, sf)
     return docs.select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
 

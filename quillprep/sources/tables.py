@@ -18,8 +18,20 @@ def split_of(number: Column) -> Column:
     return F.when(digit < 8, "train").when(digit == 8, "validation").otherwise("test")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+def documents(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """The documents as their files split, or dealt out to ``partitions`` tasks."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return docs if partitions is None else docs.repartition(partitions)
+
+
+def idle_cores(spark: SparkSession, sf_dir: str) -> int | None:
+    """``partitions`` for ``documents``: all cores where the files split into fewer tasks, else none.
+
+    A file of one row group is read by one task. Beyond a split for each core nothing is dealt out.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    splits = table(spark, sf_dir, "documents").select("doc_id").rdd.getNumPartitions()
+    return cores if splits < cores else None
 
 
 def pairs_of_documents(docs: DataFrame) -> DataFrame:
@@ -33,8 +45,8 @@ def pairs_of_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs_of_documents(documents(spark, sf_dir))
+def document_pairs(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    return pairs_of_documents(documents(spark, sf_dir, partitions))
 
 
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +68,6 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def all_pairs(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Both adapters in one DataFrame."""
-    return document_pairs(spark, sf_dir).unionByName(conversation_pairs(spark, sf_dir))
+    return document_pairs(spark, sf_dir, partitions).unionByName(conversation_pairs(spark, sf_dir))
