@@ -2,6 +2,7 @@ import os
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -87,3 +88,32 @@ def test_odd_rows_pass_through(spark, docs_of, tmp_path, empty):
         assert {r.text for r in out} - {None, ""} <= {"a b", "w " * 30_000, "one two"}
         assert len({(r.doc_id, r.text) for r in out if not r.text}) <= 1
         assert {r.doc_id for r in out if r.text == "a b"} <= {None}
+
+
+def helper_names():
+    """Every column name that an operator of a stage gives itself, with and without underscores in front."""
+    plain = {
+        "row", "row_no", "doc", "id", "none", "digest", "fp", "component_id", "first", "key", "keys", "block", "hash", "h", "label",
+        "score", "features", "gram", "n", "place", "source", "known", "size", "piece", "copies", "rows", "nth", "times", "before",
+        "start", "bucket", "amount", "base", "within", "sum", "taken", "target", "rank", "best", "region", "rack", "shard", "slot",
+        "slot_hash", "coverage", "tiles", "found", "item_id",
+    }
+    return sorted({f"{'_' * k}{n}" for n in plain for k in range(3)} - {"source"})
+
+
+@given
+def test_clashing_columns_pass_through(spark):
+    names = helper_names()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 120")
+    wide = docs.withColumns({c: F.lit(f"value of {c}") for c in names})
+    replaced = {"shard", "rack", "region", "slot"}
+    narrow = docs
+    for name, stage in corpus_pipeline.STAGES:
+        wide, narrow = cut_lineage(stage(spark, wide, SF)), cut_lineage(stage(spark, narrow, SF))
+        assert Counter(r.doc_id for r in wide.select("doc_id").collect()) == Counter(r.doc_id for r in narrow.select("doc_id").collect())
+        last = name == "sharding"
+        kept = [c for c in names if not (last and c in replaced)]
+        assert set(kept) | set(docs.columns) <= set(wide.columns)
+        assert len(wide.columns) == len(set(wide.columns)) == len(docs.columns) + len(names)
+        wrong = wide.filter(" or ".join(f"not (`{c}` <=> 'value of {c}')" for c in kept))
+        assert wrong.count() == 0
