@@ -95,6 +95,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of policy v1 rejects, rejects alone, and what would be kept without it."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents")), "v1")
+
+
 def op10_cover_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without windows of 13 words that an earlier one has."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
@@ -150,4 +155,5 @@ QUERIES = {
     "op11_token_files": op11_token_files,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_ranked_search": op13_ranked_search,
+    "quality_ablations": quality_ablations,
 }

@@ -99,6 +99,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM bits
 """
 
+# the same ledger, read by policy v1's rules
+ABLATIONS = (
+    QUALITY[: QUALITY.rindex("SELECT doc_id")]
+    + """SELECT rule, count(*) FILTER (failed & bit <> 0)::BIGINT AS failed, count(*) FILTER (failed & 47 = bit)::BIGINT AS failed_alone,
+       count(*) FILTER (failed & (47 - bit) = 0)::BIGINT AS kept_without
+FROM bits, (VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8), ('shouting', 32)) r(rule, bit)
+GROUP BY rule
+"""
+)
+
 SUBSTRINGS = r"""
 WITH split AS (
   SELECT row_number() OVER () AS row_no, doc_id,
@@ -232,6 +242,7 @@ ORACLE_SQL = {
     "op3_prefix_targets": CHAT,
     "op4_mix_sources": MIX,
     "op9_quality_rules": QUALITY,
+    "quality_ablations": ABLATIONS,
     "op10_cover_substrings": SUBSTRINGS,
     "op12_merkle_manifest": MERKLE,
     "op13_ranked_search": SEARCH,
