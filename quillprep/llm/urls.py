@@ -211,7 +211,9 @@ def judge(pages: DataFrame, labels: DataFrame, params: RuleParams = RuleParams()
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("tokens", tokens(F.col("host"), F.col("path"), F.col("url")))
     rules = cut_lineage(mine(labelled(rows, labels), params))
-    keyed = cut_lineage(rows.withColumn("row", F.xxhash64("tokens")).select("page_id", "host", "path", "row", "tokens"))
+    # two hashes tell sets of tokens apart, as one would not over billions of urls
+    row = F.struct(F.xxhash64("tokens").alias("a"), F.xxhash64(F.lit("b"), "tokens").alias("b"))
+    keyed = cut_lineage(rows.withColumn("row", row).select("page_id", "host", "path", "row", "tokens"))
     found = matched(keyed.select("row", "tokens").dropDuplicates(["row"]), rules)
     choice = given_rule(F.col("host"), F.col("path"), given)
     return (
