@@ -530,6 +530,64 @@ ORACLE_SQL["epoch_plan_bucketed"] = _with(
             FROM (SELECT epoch, stratum, mine FROM ranked GROUP BY ALL HAVING count(*) = 16)""",
     },
 )
+# Subwords: pieces by a pattern, then one merge of each distinct piece in every step. As the dialect's patterns do not look
+# ahead, a mark cuts a run of white space before its last character, which goes with what follows.
+SPACE = WS[1:-1].replace(r"\x1c\x1d\x1e\x1f", "")
+
+
+def _pieces(column: str) -> str:
+    cut = rf"regexp_replace({column}, '([{SPACE}]+)([{SPACE}][^{SPACE}])', '\1' || chr(1) || '\2', 'g')"
+    words = rf"''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}\x01]+|[{SPACE}]+"
+    return f"regexp_extract_all({cut}, '{words}')"
+
+
+def _subwords(texts: str, select: str) -> str:
+    """A statement over ``subworded``: the ``ids`` of each ``id, kind, pieces`` of ``texts``."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        path = "byte_bpe_50k.tiktoken"
+    else:
+        path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    others = {
+        "texts": texts,
+        "ranks": f"""SELECT hex(from_base64(b)) AS t, r FROM read_csv('{path}', delim=' ', header=false, quote='', escape='',
+            columns={{'b': 'VARCHAR', 'r': 'INTEGER'}})""",
+        "octets": """SELECT p, [substr(hex(encode(p)), 2 * i + 1, 2) FOR i IN range(strlen(p))] AS toks
+            FROM (SELECT DISTINCT unnest(pieces) AS p FROM texts)""",
+        "merged": """SELECT p, toks, 0 AS step FROM octets
+            UNION ALL
+            SELECT p, list_concat(toks[:i - 1], [toks[i] || toks[i + 1]], toks[i + 2:]), step + 1
+            FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY r, i) AS k
+                FROM (SELECT p, toks, step, unnest(range(1, len(toks))) AS i FROM (VALUES (1)) one(x), merged WHERE len(toks) > 1)
+                JOIN ranks ON t = toks[i] || toks[i + 1]) WHERE k = 1""",
+        "coded": """SELECT p, list(r ORDER BY pos) AS codes FROM (SELECT p, unnest(toks) AS t, generate_subscripts(toks, 1) AS pos
+                FROM (SELECT p, arg_max(toks, step) AS toks FROM merged GROUP BY p)) JOIN ranks USING (t) GROUP BY p""",
+        "subworded": """SELECT texts.id, texts.kind, coalesce(ids, []) AS ids FROM texts
+            LEFT JOIN (SELECT id, kind, flatten(list(codes ORDER BY pos)) AS ids
+                FROM (SELECT id, kind, unnest(pieces) AS p, generate_subscripts(pieces, 1) AS pos FROM texts) JOIN coded USING (p)
+                GROUP BY id, kind) found ON texts.id = found.id AND texts.kind = found.kind""",
+        "subword_cut": f"""SELECT id, p, list_slice(list_append(t, 50256), 1, {L} - len(p)) AS t
+            FROM (SELECT a.id, a.ids[:{B}] AS p, b.ids AS t FROM (SELECT * FROM subworded WHERE kind = 'p') a
+                JOIN (SELECT * FROM subworded WHERE kind = 't') b ON a.id = b.id)""",
+    }
+    return _with(select, others=others).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_SIDES = f"""SELECT id, 'p' AS kind, {_pieces('prompt_text')} AS pieces FROM rendered
+    UNION ALL SELECT id, 't', {_pieces('target')} FROM rendered"""
+ORACLE_SQL["subword_ids"] = _subwords(_SIDES, f"SELECT id, {_ids('p', 'prompt_ids')}, {_ids('t', 'target_ids')} FROM subword_cut")
+ORACLE_SQL["subword_packed"] = _subwords(
+    _SIDES,
+    f"""SELECT id, array_to_string(list_concat(p, t, [50256 FOR i IN range({L} - len(p) - len(t))]), ',') AS input_ids,
+        array_to_string(list_concat([1 FOR i IN range(len(p) + len(t))], [0 FOR i IN range({L} - len(p) - len(t))]), ',') AS attention_mask,
+        array_to_string(list_concat([-100 FOR i IN range(len(p))], t, [-100 FOR i IN range({L} - len(p) - len(t))]), ',') AS labels
+        FROM subword_cut""",
+)
+ORACLE_SQL["subword_usage"] = _subwords(
+    f"SELECT doc_id::VARCHAR AS id, 'd' AS kind, {_pieces('text')} AS pieces FROM documents",
+    "SELECT token_id, count(*) AS uses FROM (SELECT unnest(ids) AS token_id FROM subworded) GROUP BY token_id",
+)
 # first-fit decreasing, an example at a time
 ORACLE_SQL["packed_windows"] = _with(
     f"""SELECT w AS window, string_agg(id, ' ' ORDER BY nth) AS keys,
