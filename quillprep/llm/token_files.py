@@ -150,7 +150,11 @@ class Encoder:
             and plan["model"].get("end_of_word_suffix")
             and not any(t["lstrip"] or t["rstrip"] or t["normalized"] for t in plan["added_tokens"])
         )
-        return regex.compile(cuts[0]["pattern"]["Regex"]) if follows and r"[^\s" in cuts[0]["pattern"]["Regex"] else None
+        if not follows:
+            return None
+        pattern = cuts[0]["pattern"]["Regex"]
+        # runs of letters are words, and nothing takes white space
+        return regex.compile(pattern) if r"[\p{L}]+" in pattern and r"[^\s" in pattern else None
 
     def _learn_pieces(self, found: list[str]) -> None:
         fresh = [p for p in dict.fromkeys(found) if p not in self.pieces.slot]
@@ -162,15 +166,21 @@ class Encoder:
                 self.pieces.add(part, ids, np.flatnonzero(self.ends[ids]) + 1)
 
     def _learn_chunks(self, fresh: list[str]) -> None:
-        plain, special = _PLAIN.fullmatch, self.special.search
-        easy, hard = [], []
+        plain, special, cut = _PLAIN.fullmatch, self.special.search, self.pattern.findall
+        easy, found, hard = [], [], []
         for c in fresh:
-            (easy if plain(c) and not special(c) else hard).append(c)
+            if c.isascii() and c.isalpha():  # a word by itself, as most are
+                easy.append(c)
+                found.append([c.lower()])
+            elif plain(c) and not special(c):
+                easy.append(c)
+                found.append(cut(c.lower()))
+            else:
+                hard.append(c)
         if hard:
             lists = [e.ids for e in self.whole.encode_batch_fast(hard, add_special_tokens=False)]
             self.chunks.add(hard, np.fromiter(chain.from_iterable(lists), np.uint32), np.cumsum([len(ids) for ids in lists]))
         if easy:
-            found = [self.pattern.findall(c.lower()) for c in easy]
             pieces = list(chain.from_iterable(found))
             self._learn_pieces(pieces)
             ids, lengths = self.pieces.ids(np.fromiter(map(self.pieces.slot.__getitem__, pieces), np.int64, len(pieces)))
