@@ -582,9 +582,12 @@ def eval_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    schema = tables.table(spark, sf, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    return reader.parquet(sf)
+    """A table's files as they arrive. A stream reads folders alone: a table of one file is picked out of its own."""
+    given = tables.table(spark, sf, name)
+    reader = spark.readStream.schema(given.schema)
+    if any(f"/{name}.parquet/" in file for file in given.inputFiles()):
+        return reader.parquet(f"{sf}/{name}.parquet")
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
 def stream_prepare(spark: SparkSession, sf: str) -> DataFrame:
