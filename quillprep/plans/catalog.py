@@ -278,19 +278,27 @@ def prepare_from_csv(spark: SparkSession, sf: str) -> DataFrame:
     loaded = splits.load_splits(spark, {name: f"{raw}/{name}" for name in SPLITS}, params)
     prepare_training_set(loaded, path, params, rows_per_file=100)
     written = spark.read.parquet(path)
-    place = F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
-    earlier = F.lag("index", 1, -1).over(Window.partitionBy("split").orderBy(place))
     total = lambda c: F.sum(F.aggregate(c, F.lit(0), lambda a, x: a + x))
+    ahead = F.col("index") - F.col("_metadata.row_index")  # the same all through a file in order
+    files = written.groupBy("split", F.col("_metadata.file_name").alias("_file")).agg(
+        F.count("*").alias("_rows"),
+        F.min(ahead).alias("_least"),
+        F.max(ahead).alias("_most"),
+        total("attention_mask").alias("_used"),
+        total("input_ids").alias("_ids"),
+    )
+    # a row for each file
+    before = Window.partitionBy("split").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_rows").over(before), F.lit(0))
     return (
-        written.withColumn("_next", F.col("index") == earlier + 1)
-        .withColumn("_file", F.col("_metadata.file_name"))
+        files.withColumn("_next", (F.col("_least") == start) & (F.col("_most") == start))
         .groupBy("split")
         .agg(
-            F.count("*").alias("examples"),
-            F.count_distinct("_file").alias("files"),
+            F.sum("_rows").alias("examples"),
+            F.count("*").alias("files"),
             F.every("_next").alias("in_order"),
-            total("attention_mask").cast("bigint").alias("used_tokens"),
-            total("input_ids").cast("bigint").alias("id_sum"),
+            F.sum("_used").cast("bigint").alias("used_tokens"),
+            F.sum("_ids").cast("bigint").alias("id_sum"),
         )
     )
 

@@ -1,5 +1,7 @@
 """What must not grow with the input: batches, windows, files that one task writes; and tables that are folders."""
 
+from pyspark.sql import functions as F
+
 from quillprep.plans import catalog
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -19,3 +21,23 @@ def test_streams_read_tables_of_several_files(spark, tmp_path):
     sf = given(spark, str(tmp_path / "sf"), 3)
     got = catalog.stream_prepare(spark, sf)
     assert sorted(r.id for r in got.select("id").collect()) == sorted(f"d{i}" for i in range(60))
+
+
+def test_order_of_files_is_checked_without_a_window_over_rows(spark, tmp_path, monkeypatch):
+    sf = given(spark, str(tmp_path / "sf"))
+    got = catalog.prepare_from_csv(spark, sf)
+    assert {(r.split, r.examples, r.files, r.in_order) for r in got.collect()} == {
+        ("train", 49, 1, True), ("validation", 6, 1, True), ("test", 6, 1, True),
+    }
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Window") :]  # files are windowed, not rows
+    # files written in an order that is not that of the index
+    export = catalog.prepare_training_set
+
+    def turned(rows, path, params, rows_per_file):
+        export(rows, path + "-given", params, rows_per_file)
+        shuffled = spark.read.parquet(path + "-given").repartition(1).sortWithinPartitions("split", F.desc("index"))
+        shuffled.write.partitionBy("split").parquet(path)
+
+    monkeypatch.setattr(catalog, "prepare_training_set", turned)
+    assert {r.in_order for r in catalog.prepare_from_csv(spark, sf).collect()} == {False}
