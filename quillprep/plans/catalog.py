@@ -42,6 +42,8 @@ SCORE = EvalParams(use_stemmer=False, pattern="unicode")
 LEAD = 128
 SHORT_LEAD = 32
 EVAL_TARGET = 400
+# Bytes of predictions, as Parquet, that one task lands in one file.
+LANDED_BYTES = 512 << 20
 
 
 def _joined(column: str) -> Column:
@@ -606,6 +608,13 @@ def stream_prepare(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select("id", "split", "prompt_text", "target")
 
 
+def _files_to_land(rows: DataFrame) -> int:
+    """One, or as many as keep a task that writes one of them within ``LANDED_BYTES``, by the rows' own files."""
+    files = rows.select("_metadata.file_path", "_metadata.file_size").distinct()
+    size = files.agg(F.sum("file_size")).head()[0]
+    return max(1, -(-(size or 0) // LANDED_BYTES))
+
+
 def _landed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     """A folder of predictions in files whose keys overlap; a stream may take them as one micro-batch or several."""
     reference = text.strip_edges(F.col("highlights")).alias("reference")
@@ -614,8 +623,9 @@ def _landed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     given = tables.pairs_of_documents(tables.table(spark, sf, "documents"))
     rows = _predicted(given.select(index, "article", reference), LEAD)
     rows = cut_lineage(rows.select("run_id", "index", "prediction", "reference"))
+    files = _files_to_land(rows)
     for keep in ("index % 2 = 0", "index % 3 <> 1", "true"):
-        rows.filter(keep).coalesce(1).write.mode("append").parquet(landed)
+        rows.filter(keep).coalesce(files).write.mode("append").parquet(landed)
     return landed, rows
 
 

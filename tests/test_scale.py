@@ -41,3 +41,13 @@ def test_order_of_files_is_checked_without_a_window_over_rows(spark, tmp_path, m
 
     monkeypatch.setattr(catalog, "prepare_training_set", turned)
     assert {r.in_order for r in catalog.prepare_from_csv(spark, sf).collect()} == {False}
+
+
+def test_landed_files_are_bounded(spark, tmp_path, monkeypatch):
+    sf = given(spark, str(tmp_path / "sf"), 4)
+    want = sorted(map(tuple, catalog.stream_score(spark, sf).collect()))
+    monkeypatch.setattr(catalog, "LANDED_BYTES", 2_000)
+    landed, rows = catalog._landed(spark, sf)
+    assert len(spark.read.parquet(landed).inputFiles()) > 3
+    assert spark.read.parquet(landed).distinct().count() == rows.count() == 60
+    assert sorted(map(tuple, catalog.stream_score(spark, sf).collect())) == want
