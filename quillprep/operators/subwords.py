@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from quillprep.functions.batches import parts
 from quillprep.operators.vocabulary import BROADCAST_BYTES, BROADCAST_TOKENS
 
 # Fixed value: how texts are cut before the merges. (?U) reads \s as any Unicode white space.
@@ -112,7 +114,7 @@ def subword_ids(text: Column, vocabulary: Subwords) -> Column:
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ranks = {token: number for number, token in enumerate(shared.value.to_pylist())}
         known: dict[str, list[int]] = {}
-        for lists in batches:
+        for (lists,) in chain.from_iterable(map(parts, batches)):
             flat = lists.flatten().dictionary_encode()
             if len(known) > REMEMBERED:
                 known.clear()
@@ -148,12 +150,16 @@ def subword_text(ids: Column, vocabulary: Subwords) -> Column:
 
     @F.arrow_udf(T.StringType())
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
+        for (lists,) in chain.from_iterable(map(parts, batches)):
             flat = lists.flatten()
             known = pc.if_else(pc.and_(pc.less(flat, size), pc.greater_equal(flat, 0)), flat, pa.scalar(None, flat.type))
-            found = pc.fill_null(shared.value.take(known), b"").to_pylist()
-            edges = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())]).tolist()
-            texts = [b"".join(found[a:b]).decode("utf-8", "replace") for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            found = pc.fill_null(shared.value.take(known), b"")
+            # the tokens' bytes lie one after another, so those of a row are one stretch
+            starts = np.frombuffer(found.buffers()[1], np.int32)[found.offset : found.offset + len(found) + 1]
+            octets = memoryview(found.buffers()[2] or b"")
+            rows = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+            edges = starts[rows].tolist()
+            texts = [str(octets[a:b], "utf-8", "replace") for a, b in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.array(texts, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
 
     return text_of(ids)
