@@ -7,12 +7,14 @@ function counts n-grams for all its rows at once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 
+from quillprep.functions.batches import parts
 from quillprep.functions.porter import stem
 from quillprep.params import SCORE_PATTERNS
 
@@ -35,7 +37,7 @@ def _stems(words: pa.Array) -> pa.Array:
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Stem a token array, each distinct token of a batch once."""
-    for lists in batches:
+    for (lists,) in chain.from_iterable(map(parts, batches)):
         encoded = lists.flatten().dictionary_encode()
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
         stems = _stems(encoded.dictionary).take(encoded.indices)
@@ -123,7 +125,7 @@ def overlaps(prediction: Column, reference: Column, rouge_types, use_stemmer: bo
 
     @F.arrow_udf(f"struct<{fields}>")
     def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
+        for left, right in chain.from_iterable(parts(*sides) for sides in batches):
             yield _overlaps(left, right, rouge_types, use_stemmer)
 
     return count(prediction, reference)

@@ -82,7 +82,7 @@ def test_overlaps_of_parts_are_those_of_the_whole(monkeypatch):
     assert [x for one, two in batches.parts(left, right) for x in rouge._overlaps(one, two, kinds, False).to_pylist()] == whole
 
 
-@pytest.mark.parametrize("step", ["lookup", "decode", "subwords"])
+@pytest.mark.parametrize("step", ["lookup", "decode", "subwords", "stems", "overlaps"])
 def test_functions_take_a_batch_in_parts(spark, monkeypatch, step):
     """A batch comes in one piece; no function makes more of its rows into arrays at once than the bound allows."""
     monkeypatch.setattr(batches, "ELEMENTS_AT_ONCE", 20)
