@@ -28,6 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillprep.llm.arrow import Lists, filter_rows, map_lists
+from quillprep.session import cut_lineage
 
 # Which letters a character may imitate.
 IMITATES = {
@@ -306,24 +307,37 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
         for b in batches:
             yield {"label": b["label"], "features": [sorted(reader.features(t)) for t in b["text"]]}
 
-    found = map_lists(sample, read, "label int, features array<int>").toArrow()
-    y = found["label"].to_numpy().astype(np.float64) > 0
-    y = y.astype(np.float64)
-    lists = found["features"].combine_chunks() if found.num_rows else None
-    if lists is None or not len(y):
+    found = cut_lineage(map_lists(sample, read, "label int, features array<int>"))
+    n, toxic_rows = found.agg(F.count("*"), F.coalesce(F.count_if(F.col("label") > 0), F.lit(0))).head()
+    if not n:
         return Model(decoder, params, {}, np.zeros(0), -500.0)
-    columns = lists.values.to_numpy().astype(np.int64)
-    rows = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
-    have = np.bincount(columns, minlength=1 << params.bits)
-    toxic = np.bincount(columns, y[rows], minlength=1 << params.bits)
-    share = toxic / np.maximum(have, 1)
-    low = share - 2 * np.sqrt((share * (1 - share) + 0.25 / np.maximum(have, 1)) / np.maximum(have, 1))
-    used = np.flatnonzero((toxic >= params.min_toxic) & (low > params.lift * y.mean()))
+    used = _used_features(found, toxic_rows / n, params)
+    wanted = frozenset(used)
+
+    def pick(batches: Iterator[Lists]) -> Iterator[Lists]:
+        for b in batches:
+            yield {"label": b["label"], "features": [[f for f in own if f in wanted] for own in b["features"]]}
+
+    # only what is fitted comes to the driver
+    fitted = map_lists(found, pick, "label int, features array<int>").toArrow()
+    y = (fitted["label"].to_numpy() > 0).astype(np.float64)
+    lists = fitted["features"].combine_chunks()
     place = np.full(1 << params.bits, -1)
     place[used] = np.arange(len(used))
-    kept = place[columns] >= 0
-    weights, bias = fit_weights(y, rows[kept], place[columns[kept]], len(used), params)
-    return Model(decoder, params, {int(f): k for k, f in enumerate(used)}, weights, bias)
+    rows = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
+    weights, bias = fit_weights(y, rows, place[lists.values.to_numpy()], len(used), params)
+    return Model(decoder, params, {f: k for k, f in enumerate(used)}, weights, bias)
+
+
+def _used_features(sample: DataFrame, rate: float, params: ToxicityParams) -> list[int]:
+    """Features that ``params`` lets into the regression, counted where the rows lie; ``rate`` of all rows are toxic."""
+    each = sample.select((F.col("label") > 0).alias("toxic"), F.explode("features").alias("feature"))
+    counted = each.groupBy("feature").agg(F.count("*").alias("have"), F.count_if("toxic").alias("toxic"))
+    found = counted.filter(F.col("toxic") >= params.min_toxic).toArrow()
+    have, toxic = (found[c].to_numpy().astype(np.float64) for c in ("have", "toxic"))
+    share = toxic / have
+    low = share - 2 * np.sqrt((share * (1 - share) + 0.25 / have) / have)
+    return np.sort(found["feature"].to_numpy()[low > params.lift * rate]).tolist()
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
