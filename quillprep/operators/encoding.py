@@ -44,15 +44,15 @@ def lookup_ids(tokens: Column, lookup: Lookup) -> Column:
 
 
 def join_ids(
-    rows: DataFrame, vocabulary: DataFrame, columns: dict[str, str], key: list[str]
+    rows: DataFrame, vocabulary: DataFrame, columns: dict[str, str], key: list[str], written: bool = False
 ) -> DataFrame:
     """The same for a vocabulary too large to broadcast: join each token, regroup by row.
 
     All columns are exploded together, so there is one join with the vocabulary and one with the
-    rows, which are written first and computed once. AQE splits the partitions of frequent tokens.
-    Rows without tokens keep an empty array.
+    rows, which are written first and computed once, unless they are ``written`` already. AQE splits
+    the partitions of frequent tokens. Rows without tokens keep an empty array.
     """
-    rows = cut_lineage(rows)
+    rows = rows if written else cut_lineage(rows)
     return _joined_lists(rows, vocabulary, columns, key, "token", F.coalesce("token_id", F.lit(UNK_ID)), IDS)
 
 
@@ -78,13 +78,34 @@ def _joined_lists(
     each = rows.select(*key, tagged.alias("_e")).select(*key, "_e.*")
     met = each.join(vocabulary, by, "left").withColumn("_value", value)
     met = met.filter(F.col("_value").isNotNull())
+    grouped = _packed_ids(met, columns, key) if kind == IDS else _sorted_values(met, columns, key)
+    empty = {target: F.coalesce(target, F.array().cast(kind)) for target in columns.values()}
+    return rows.join(grouped, key, "left").withColumns(empty)
+
+
+def _sorted_values(met: DataFrame, columns: dict[str, str], key: list[str]) -> DataFrame:
+    """Values regrouped by row, those of each column in order of their places."""
     pairs = lambda n: F.array_sort(F.collect_list(F.when(F.col("_col") == n, F.struct("_pos", "_value"))))
     lists = [
         F.transform(pairs(n), lambda x: x["_value"]).alias(target) for n, target in enumerate(columns.values())
     ]
-    grouped = met.groupBy(*key).agg(*lists)
-    empty = {target: F.coalesce(target, F.array().cast(kind)) for target in columns.values()}
-    return rows.join(grouped, key, "left").withColumns(empty)
+    return met.groupBy(*key).agg(*lists)
+
+
+def _packed_ids(met: DataFrame, columns: dict[str, str], key: list[str]) -> DataFrame:
+    """The same for ids: column, place and id are one long, so that longs are collected and sorted, not structs.
+
+    Five bits hold the column and 26 the place; no row holds as many tokens.
+    """
+    head = F.shiftleft(F.col("_col").cast("long"), 58).bitwiseOR(F.shiftleft(F.col("_pos").cast("long"), 32))
+    packed = head.bitwiseOR(F.col("_value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    grouped = met.groupBy(*key).agg(F.sort_array(F.collect_list(packed)).alias("_packed"))
+
+    def own(number: int) -> Column:
+        mine = F.filter("_packed", lambda x: F.shiftright(x, 58) == number)
+        return F.transform(mine, lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
+
+    return grouped.select(*key, *[own(n).alias(target) for n, target in enumerate(columns.values())])
 
 
 def encode(

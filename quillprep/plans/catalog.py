@@ -244,10 +244,10 @@ def decode_joined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tokenize_joined(spark: SparkSession, sf: str) -> DataFrame:
-    tokenized = _tokenized(spark, sf)
+    tokenized = cut_lineage(_tokenized(spark, sf))  # cut into tokens once, for the vocabulary and the join
     vocabulary = fit_vocabulary(tokenized, PREP)
     names = {"prompt_tokens": "prompt_ids", "target_tokens": "target_ids"}
-    joined = join_ids(tokenized, vocabulary, names, ["id"])
+    joined = join_ids(tokenized, vocabulary, names, ["id"], written=True)
     return joined.select("id", _joined("prompt_ids"), _joined("target_ids"))
 
 

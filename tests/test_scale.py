@@ -116,3 +116,16 @@ def test_functions_take_a_batch_in_parts(spark, monkeypatch, step):
         assert [x for o in out for x in o.to_pylist()] == ["baa" * (n % 5) for n in range(40)]
     if step == "lookup":
         assert [x for o in out for x in o.to_pylist()] == [[0, 1] * (n % 5) for n in range(40)]
+
+
+def test_joined_ids_are_packed_and_texts_cut_once(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("k", ["b", "a", "zz"], ["a"]), ("l", [], None), (None, ["a"], ["b"])], "id string, p array<string>, t array<string>")
+    vocabulary = spark.createDataFrame([("a", 3), ("b", 2_000_000_000)], "token string, token_id int")
+    got = encoding.join_ids(rows, vocabulary, {"p": "p_ids", "t": "t_ids"}, ["id"])
+    assert {(r.id, tuple(r.p_ids), tuple(r.t_ids)) for r in got.collect()} == {("k", (2_000_000_000, 3, 1), (3,)), ("l", (), ()), (None, (), ())}
+    assert "array_sort" not in got._jdf.queryExecution().optimizedPlan().toString()
+    # the vocabulary is counted over tokens that were written
+    seen, fit = [], catalog.fit_vocabulary
+    monkeypatch.setattr(catalog, "fit_vocabulary", lambda tokens, params: seen.append(tokens) or fit(tokens, params))
+    assert catalog.tokenize_joined(spark, given(spark, str(tmp_path / "sf"))).count() == 61
+    assert "regexp" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
