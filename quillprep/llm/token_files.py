@@ -26,7 +26,8 @@ result. Other columns are not read.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 from zlib import crc32
@@ -34,7 +35,6 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -46,7 +46,9 @@ from quillprep.session import scratch_path
 
 _TEXT_AT_ONCE = 1 << 22
 # Printable ASCII and the Latin letters up to U+017E that are composed already and have one lower-case letter.
-_PLAIN = regex.compile("[!-~À-ÖØ-öø-įĲ-ňŊ-ž]+")
+_PLAIN = "^[!-~À-ÖØ-öø-įĲ-ňŊ-ž]+$"
+# The only pattern of words that is followed here; Arrow's expressions and the library's cut plain strings alike by it.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 @dataclass(frozen=True)
@@ -70,14 +72,14 @@ class FileParams:
 
 
 class _Ranges:
-    """Ids of distinct strings, in one array with a range for each; emptied when it is full."""
+    """Ids of distinct strings, in one array with a range for each; emptied when it is full. The empty string has none."""
 
     def __init__(self, limit: int) -> None:
         self.limit = limit
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.slot = {"": 0}
         self.flat = np.zeros(1 << 12, np.uint32)
         self.edges = np.zeros(1 << 10, np.int64)
 
@@ -90,12 +92,38 @@ class _Ranges:
         self.edges[at + 1 : at + 1 + len(strings)] = begin + ends
         self.slot.update(zip(strings, range(at, at + len(strings)), strict=True))
 
+    def slots(self, strings: list[str], learn: Callable[[list[str]], None]) -> np.ndarray:
+        """The slots of these distinct strings; ``learn`` adds those that are not held."""
+        if len(self.slot) + len(strings) > self.limit:
+            self.clear()
+        if fresh := [s for s in strings if s not in self.slot]:
+            learn(fresh)
+        return np.fromiter(map(self.slot.__getitem__, strings), np.int64, len(strings))
+
     def ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the strings in these slots, one after another, and how many each has."""
-        begin, length = self.edges[slots], self.edges[slots + 1] - self.edges[slots]
-        ends = np.cumsum(length)
-        at = np.repeat(begin - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
-        return self.flat[at], length
+        return _picked(self.flat, self.edges, slots)
+
+
+def _picked(flat: np.ndarray, edges: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of ``flat`` between these edges and the next, one after another, and how long each is."""
+    begin, length = edges[slots], edges[slots + 1] - edges[slots]
+    ends = np.cumsum(length)
+    at = np.repeat(begin - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
+    return flat[at], length
+
+
+def _sums(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)])
+
+
+def _offsets(lists: pa.ListArray) -> np.ndarray:
+    """Where each list begins among the flattened values, and where the last one ends."""
+    return lists.offsets.to_numpy() - lists.offsets[0].as_py()
+
+
+def _strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
 
 
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
@@ -111,18 +139,18 @@ class Encoder:
 
     A vocabulary whose splitting removes all white space and whose words end in a mark of their own gives a text
     the ids of what lies between white space, one after another. Of those, strings of printable ASCII and of letters that
-    normalization leaves alone are lower-cased and cut by the file's own pattern, and each piece goes to its model
-    once; whatever else there is passes through the whole of it.
+    normalization leaves alone are lower-cased and cut by the file's own pattern, each distinct one of a batch once and all
+    of them by Arrow; each piece goes to its model once. Whatever else there is passes through the whole of it.
     """
 
     def __init__(self, path: str, remembered: int) -> None:
         self.whole = Tokenizer.from_file(path)
         self.size = self.whole.get_vocab_size(with_added_tokens=True)
-        self.chunks, self.pieces = _Ranges(remembered), _Ranges(remembered)
+        self.others, self.pieces = _Ranges(remembered), _Ranges(remembered)
         plan = json.loads(self.whole.to_str())
         self.pattern = self._pattern(plan)
         if self.pattern is not None:
-            self.special = regex.compile("|".join(regex.escape(t["content"]) for t in plan["added_tokens"]) or "(?!)")
+            self.special = "|".join(re.escape(t["content"]) for t in plan["added_tokens"])
             end = plan["model"]["end_of_word_suffix"]
             ends = np.zeros(self.size, bool)
             ends[[number for token, number in plan["model"]["vocab"].items() if token.endswith(end)]] = True
@@ -134,7 +162,7 @@ class Encoder:
             self.model = bare({"type": "Sequence", "pretokenizers": [spaces, octets]})
 
     @staticmethod
-    def _pattern(plan: dict) -> regex.Pattern | None:
+    def _pattern(plan: dict) -> str | None:
         """The pattern of words, if the file's steps are those that this class can follow; else texts are encoded whole."""
         steps = [s["type"] for s in (plan["normalizer"] or {}).get("normalizers", [])]
         cuts = (plan["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -142,6 +170,7 @@ class Encoder:
             steps == ["NFC", "Replace", "Lowercase"]
             and plan["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
             and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["pattern"] == {"Regex": _WORDS}
             and cuts[0]["behavior"] == "Removed"
             and cuts[0]["invert"]
             and not cuts[1]["add_prefix_space"]
@@ -150,10 +179,9 @@ class Encoder:
             and plan["model"].get("end_of_word_suffix")
             and not any(t["lstrip"] or t["rstrip"] or t["normalized"] for t in plan["added_tokens"])
         )
-        return regex.compile(cuts[0]["pattern"]["Regex"]) if follows and r"[^\s" in cuts[0]["pattern"]["Regex"] else None
+        return _WORDS if follows else None
 
-    def _learn_pieces(self, found: list[str]) -> None:
-        fresh = [p for p in dict.fromkeys(found) if p not in self.pieces.slot]
+    def _learn_pieces(self, fresh: list[str]) -> None:
         for model, own in ((self.ascii_model, [p for p in fresh if p.isascii()]), (self.model, [p for p in fresh if not p.isascii()])):
             for at in range(0, len(own), 4096):
                 part = own[at : at + 4096]
@@ -161,21 +189,19 @@ class Encoder:
                 # each piece ends in an end-of-word token, and has no other
                 self.pieces.add(part, ids, np.flatnonzero(self.ends[ids]) + 1)
 
-    def _learn_chunks(self, fresh: list[str]) -> None:
-        plain, special = _PLAIN.fullmatch, self.special.search
-        easy, hard = [], []
-        for c in fresh:
-            (easy if plain(c) and not special(c) else hard).append(c)
-        if hard:
-            lists = [e.ids for e in self.whole.encode_batch_fast(hard, add_special_tokens=False)]
-            self.chunks.add(hard, np.fromiter(chain.from_iterable(lists), np.uint32), np.cumsum([len(ids) for ids in lists]))
-        if easy:
-            found = [self.pattern.findall(c.lower()) for c in easy]
-            pieces = list(chain.from_iterable(found))
-            self._learn_pieces(pieces)
-            ids, lengths = self.pieces.ids(np.fromiter(map(self.pieces.slot.__getitem__, pieces), np.int64, len(pieces)))
-            sums = np.concatenate([[0], np.cumsum(lengths)])
-            self.chunks.add(easy, ids, sums[np.cumsum([len(f) for f in found])])
+    def _learn_others(self, fresh: list[str]) -> None:
+        lists = [e.ids for e in self.whole.encode_batch_fast(fresh, add_special_tokens=False)]
+        self.others.add(fresh, np.fromiter(chain.from_iterable(lists), np.uint32), np.cumsum([len(ids) for ids in lists]))
+
+    def _plain_ids(self, plain: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain strings, one after another, and how many each has."""
+        lower = pc.utf8_lower(plain).dictionary_encode()
+        # each piece is closed by a space, so an empty one follows the last
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(lower.dictionary, self.pattern, r"\0 "))
+        found = lists.flatten().dictionary_encode()
+        slots = self.pieces.slots(_strings(found.dictionary), self._learn_pieces)
+        ids, lengths = self.pieces.ids(slots[found.indices.to_numpy()])
+        return _picked(ids, _sums(lengths)[_offsets(lists)], lower.indices.to_numpy())
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each has; null as empty."""
@@ -185,21 +211,18 @@ class Encoder:
             return np.array([i for ids in lists for i in ids], np.uint32), np.array([len(ids) for ids in lists], np.int64)
         lists = pc.ascii_split_whitespace(texts)
         known = lists.flatten().dictionary_encode()
-        distinct = known.dictionary.to_pylist()
-        for held in (self.chunks, self.pieces):
-            if len(held.slot) + len(distinct) > held.limit:
-                held.clear()
-        slot = self.chunks.slot
-        fresh = [c for c in distinct if c and c not in slot]
-        if "" not in slot:
-            self.chunks.add([""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
-        if fresh:
-            self._learn_chunks(fresh)
-        slots = np.fromiter((slot[c] for c in distinct), np.int64, len(distinct))
-        ids, lengths = self.chunks.ids(slots[known.indices.to_numpy()])
-        sums = np.concatenate([[0], np.cumsum(lengths)])
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        return ids, np.diff(sums[offsets])
+        distinct = known.dictionary
+        plain = pc.match_substring_regex(distinct, _PLAIN)
+        if self.special:
+            plain = pc.and_not(plain, pc.match_substring_regex(distinct, self.special))
+        plain_ids, plain_lengths = self._plain_ids(distinct.filter(plain))
+        other_ids, other_lengths = self.others.ids(self.others.slots(_strings(distinct.filter(pc.invert(plain))), self._learn_others))
+        # plain strings first, then the others, and where each distinct one has gone
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        place = np.where(is_plain, np.cumsum(is_plain) - 1, len(plain_lengths) + np.cumsum(~is_plain) - 1)
+        edges = _sums(np.concatenate([plain_lengths, other_lengths]))
+        ids, lengths = _picked(np.concatenate([plain_ids, other_ids]), edges, place[known.indices.to_numpy()])
+        return ids, np.diff(_sums(lengths)[_offsets(lists)])
 
 
 # One for each vocabulary file and bound, kept by a Python worker from task to task.

@@ -1,5 +1,6 @@
 import glob
 import random
+import sys
 from zlib import crc32
 
 import numpy as np
@@ -38,6 +39,34 @@ def test_ids_are_the_librarys(whole, remembered):
         assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == [ids_of(whole, t)[:-1] for t in texts[at : at + 500]]
 
 
+def split(ids, lengths):
+    return [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])]
+
+
+def test_every_letter_in_its_neighbourhood(whole):
+    texts = [t for c in map(chr, range(0x180)) for t in (c, f"x{c}Y 1{c}2", f"'{c}a {c}'s", f"'L{c} .{c}'RE'x", f"A{c}\u0301")]
+    assert split(*Encoder(PATH, 1 << 20).encode(pa.array(texts))) == [ids_of(whole, t)[:-1] for t in texts]
+
+
+@pytest.mark.parametrize("texts", [["", None], ["日本 é\u0301", ""], ["<|endoftext|>"], ["a b"], ["\n", "日本"]])
+def test_plain_or_other_strings_alone(whole, texts):
+    own = Encoder(PATH, 10)
+    for _ in range(2):
+        assert split(*own.encode(pa.array(texts, pa.string()))) == [ids_of(whole, t)[:-1] for t in texts]
+
+
+def test_distinct_strings_take_no_calls_of_their_own(whole):
+    words = [f"{a}{mark}{b}" for a in ("red", "Green", "blue's") for mark in ".,;:!?-" for b in map(str, range(500))]
+    texts, own, calls = [" ".join(words), "red"], Encoder(PATH, 1 << 20), []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        got = own.encode(pa.array(texts))
+    finally:
+        sys.setprofile(None)
+    assert split(*got) == [ids_of(whole, t)[:-1] for t in texts]
+    assert len(calls) < len(words) / 10
+
+
 def test_other_vocabulary_is_encoded_whole():
     path = public_tokenizers.path("byte_bpe_50k.json")
     texts = ["two  spaces", "é x", ""]
